@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def pieces(batches: Iterator[pa.RecordBatch], name: str, most: int = 8_000_000)
                 yield batch
             continue
         start, size = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(col).to_pylist()):
+        for i, n in enumerate(pc.binary_length(col).to_pylist()):
             if size and size + (n or 0) > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from matchloom.llm import chat, lines, mixing
+from matchloom.llm import chat, decontaminate, langid, lines, mixing, quality, tokens, topk
 
 QUERIES = {
+    "op1_topk": topk.op1_topk,
+    "op3_langid": langid.op3_langid,
+    "op4_token_count": tokens.op4_token_count,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
+    "op7_quality": quality.op7_quality,
     "op8_chat_format": chat.op8_chat_format,
     "op9_mix": mixing.op9_mix,
     "op10_line_dedup": lines.op10_line_dedup,
 }
-SQL = {"op8_chat_format": chat.SQL}
+SQL = {"op1_topk": topk.SQL, "op5_decontaminate": decontaminate.SQL, "op8_chat_format": chat.SQL}
