@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from matchloom.llm import chat, decontaminate, langid, lines, mixing, quality, tokens, topk
+from matchloom.llm import chat, decontaminate, html, langid, lines, mixing, quality, tokens, topk
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
+    "op2_html_text": html.op2_html_text,
     "op3_langid": langid.op3_langid,
     "op4_token_count": tokens.op4_token_count,
     "op5_decontaminate": decontaminate.op5_decontaminate,
