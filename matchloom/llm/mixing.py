@@ -24,7 +24,7 @@ from matchloom.llm.common import cut, read
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block; slots in an output shard on average; rows in a bucket; rounds of the shuffle.
-BLOCK, SHARD, BUCKET, ROUNDS = 128, 1024, 4096, 24
+BLOCK, SHARD, BUCKET, ROUNDS = 128, 1024, 512, 24
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
 
 
@@ -102,7 +102,8 @@ def slots(plan: DataFrame, seed: int, block: int = BLOCK, shard: int = SHARD) ->
     total = Window.partitionBy(F.lit(0))
     quota = quota.withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.sum("n_slots").over(total) / F.lit(shard))).cast("long"))
     runs = quota.withColumn("run_no", F.explode(F.expr("sequence(0, (n_slots - 1) div 4096)")))
-    dealt = runs.repartition("src", "run_no")
+    # By number: few small rows stand for many slots, which AQE can't know when it merges partitions
+    dealt = runs.repartition(int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions")), "src", "run_no")
     each = dealt.withColumn("slot", F.explode(F.expr("sequence(run_no * 4096, least(n_slots, (run_no + 1) * 4096) - 1)")))
     turn = F.expr("slot div n_blocks")
     size = F.when(F.col("blk") == F.col("n_blocks") - 1, last_size).otherwise(F.lit(block))
@@ -136,7 +137,8 @@ def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
     plan, placed = _plan(docs, seed)
     drawn = slots(plan, seed).groupBy("src", "blk").agg(F.collect_list("words").alias("draws"))  # two draws at most
     own = F.aggregate("draws", F.lit(0).cast("long"), lambda a, w: a + F.greatest(F.lit(0), F.least(w, "hi") - F.col("lo")))
-    taken = _spans(placed, BLOCK).join(drawn, ["src", "blk"]).groupBy("src", "at").agg(F.sum(own).alias("taken"))
+    # The size of drawn is estimated from the few rows of plan it grows out of, and would be broadcast
+    taken = _spans(placed, BLOCK).join(drawn.hint("merge"), ["src", "blk"]).groupBy("src", "at").agg(F.sum(own).alias("taken"))
     rows = placed.withColumn("key", F.when(F.col("size") > 0, F.col("at")))
     return (
         rows.alias("r")
@@ -156,7 +158,7 @@ def mixed_blocks(docs: DataFrame, seed: int = 11) -> DataFrame:
     cutout = F.slice("w", (F.col("blk") * BLOCK + F.col("lo") - F.col("at") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int"))
     blocks = spans.select("src", "blk", F.struct("lo", cutout.alias("w")).alias("part")).groupBy("src", "blk").agg(F.array_sort(F.collect_list("part")).alias("parts"))
     words = F.flatten(F.transform("parts", lambda x: x["w"]))
-    return slots(plan, seed).join(blocks, ["src", "blk"]).select("shard", "src", "slot", F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), " ").alias("text"))
+    return slots(plan, seed).hint("merge").join(blocks, ["src", "blk"]).select("shard", "src", "slot", F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), " ").alias("text"))
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
