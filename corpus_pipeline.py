@@ -1,11 +1,57 @@
-"""The corpus pipeline over the documents table."""
+"""The corpus pipeline: stages over the documents table, each written as Parquet and read again as the next one's docs.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but the last return the
+columns of documents; the last returns how the kept documents are mixed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from matchloom.llm import decontaminate, jaccard, lines, mixing, quality
+from matchloom.llm.common import cut, read
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; all rows of a doc_id share its labels, yet each text is judged."""
+    return quality.keep_accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(docs).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each component stays, and every one without a doc_id."""
+    found = jaccard.near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("mixing sources to target weights", mixing_stage),
+]
+
+#: Fitted densities and hashed draws can't be said in SQL; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut(docs, "pipeline")
     return docs

@@ -3,7 +3,8 @@
 Every whole text becomes a vector of transformed statistics (logarithms of sizes, shares on a logit scale). Per class, a mean
 and a covariance shrunk towards the pooled one and towards its own diagonal; both determinants and the inverse
 square roots come from Cholesky factors that are computed once, cached in the model and sent with it. The score is the
-logistic of the difference of the log-densities (a Mahalanobis term each) plus the log of the classes' odds.
+logistic of the difference of the log-densities (a Mahalanobis term each) plus the log of the classes' odds. Statistics
+of few words scatter more than the covariances of whole texts say, so the difference counts words / (words + EVIDENCE).
 
 Moments are sums over all labelled training rows, added up by Spark; the model's size depends on the number of
 statistics alone. Sums are rounded before they are used, so that the order of adding doesn't show in a score.
@@ -29,6 +30,8 @@ from matchloom.llm.common import cut, held_out, pieces, read, utf8
 
 POOLED, DIAGONAL, FLOOR = 0.05, 0.05, 1e-3
 THRESHOLD = 0.3
+#: Words at which a text's statistics count half.
+EVIDENCE = 40
 NAMES = (
     "chars", "words", "word_length", "upper", "digits", "marks", "odd_marks", "spaces", "distinct", "top_word",
     "pairs_again", "lines_again", "packed", "ends_marked", "upper_words", "one_kind", "entropy", "line_length",
@@ -127,8 +130,10 @@ class Discriminant:
         logs = []
         for mean, inverse, log_det, prior in self.parts:
             z = (x / self.scale - mean) @ inverse.T
-            logs.append(prior - log_det - 0.5 * (z * z).sum(1))
-        return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
+            logs.append((prior, -log_det - 0.5 * (z * z).sum(1)))
+        words = np.expm1(x[:, NAMES.index("words")])
+        odds = logs[1][0] - logs[0][0] + (logs[1][1] - logs[0][1]) * words / (words + EVIDENCE)
+        return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
 def fit(measured: DataFrame, labels: DataFrame) -> Discriminant:
@@ -163,10 +168,30 @@ def classify(measured: DataFrame, model: Discriminant) -> DataFrame:
     return measured.mapInArrow(run, f"{fields}, score double, predicted int")
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def fit_documents(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
+    """The statistics of docs (written once) and the model that its training rows give."""
     measured = cut(measure(docs), "quality-statistics")
     train = measured.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return classify(measured, fit(train, labels)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return measured, fit(train, labels)
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    measured, model = fit_documents(docs, labels)
+    return classify(measured, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that the model fitted on them doesn't reject; texts are judged in place."""
+    _, model = fit_documents(docs, labels)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(iter([batch]), "text"):
+                x = np.array([statistics(t) for t in utf8(part, "text")])
+                yield part.filter(pa.array(np.round(sent.value.score(x), 9) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
