@@ -1,4 +1,420 @@
 """Named queries over the driver's tables, each with its equivalent SQL where SQL can express it."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from matchloom.functions import similarity as s
+from matchloom.functions import text as t
+from matchloom.functions.tables import ABBREVIATIONS, FEATURES, RAW, SUFFIXES
+from matchloom.operators import blocking, features, model, pairs, profile, tfidf
+from matchloom.operators.normalize import normalize
+from matchloom.plans import entities as e
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function under its name, with its SQL behind the entity expressions."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = f"WITH RECURSIVE {e.SQL.strip()} {sql.strip()}"
+        return f
+
+    return add
+
+
+def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize(e.entities(spark, sf_dir), "S0")
+
+
+def _joined(c: str):
+    return F.array_join(c, "|").alias(c)
+
+
+# Normalization
+
+
+@query("SELECT entity_id, name_clean, name_lower, replace(strip_accents(replace(name_clean, 'ß', 'ss')), 'œ', 'oe') AS name_ascii, length(business_name) = 0 AS name_is_empty FROM n")
+def normalize_names(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", "name_clean", "name_lower", "name_ascii", "name_is_empty")
+
+
+_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SUFFIXES.items())
+
+
+@query(f"SELECT entity_id, name_core, CASE ending {_CASES} END AS name_suffix_norm FROM n")
+def name_core_suffix(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", "name_core", "name_suffix_norm")
+
+
+_NAME_TOKENS = r"list_filter(string_split(trim(regexp_replace(name_core, '[^\p{L}\p{N}_]+', ' ', 'g')), ' '), lambda x: x <> '')"
+
+
+@query(f"SELECT entity_id, array_to_string({_NAME_TOKENS}, '|') AS name_tokens, len({_NAME_TOKENS})::BIGINT AS n FROM n")
+def name_tokens(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", _joined("name_tokens"), F.size("name_tokens").cast("long").alias("n"))
+
+
+_HOST = "CASE WHEN page_id % 3 = 0 THEN 'www.' ELSE '' END || replace(regexp_extract(url, '//([^/:]+)', 1), '.example.', '.')"
+
+
+@query(
+    rf"""
+, p AS (SELECT page_id, {_HOST} AS name FROM pages),
+q AS (SELECT *, regexp_matches(regexp_replace(lower(name), '^www\.', ''), '^[a-z0-9][a-z0-9\-]*\.(com|in|net|org|co|biz|info)(\.[a-z]{{2}})?$') AS is_domain FROM p)
+SELECT page_id, name, is_domain, CASE WHEN is_domain THEN nullif(lower(trim(replace(regexp_replace(regexp_replace(regexp_replace(name, '^www\.', '', 'i'),
+  '\.(com|in|net|org|co|biz|info)(\.[a-z]{{2}})?$', '', 'i'), '([a-z0-9])([A-Z])', '\1 \2', 'g'), '-', ' '))), '') END AS domain_name FROM q
+"""
+)
+def domain_names(spark, sf_dir):
+    host = F.replace(F.regexp_extract("url", r"//([^/:]+)", 1), F.lit(".example."), F.lit("."))
+    pages = e.table(spark, sf_dir, "pages").select("page_id", F.concat(F.when(F.col("page_id") % 3 == 0, "www.").otherwise(""), host).alias("name"))
+    return pages.select("page_id", "name", t.is_domain(F.col("name")).alias("is_domain"), F.nullif(t.domain_name(F.col("name")), F.lit("")).alias("domain_name"))
+
+
+_SHORT = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ABBREVIATIONS.items())
+_ADDRESS_TOKENS = rf"list_transform(regexp_extract_all(lower(address_clean), '[\p{{L}}\p{{Nl}}\p{{No}}]+|\p{{Nd}}+(?:/\p{{Nd}}+)?'), lambda x: CASE x {_SHORT} ELSE x END)"
+_NUMBERS = r"regexp_extract_all(business_address, '\p{Nd}+(?:/\p{Nd}+)?')"
+
+
+@query(f"SELECT entity_id, address_clean, array_to_string({_ADDRESS_TOKENS}, '|') AS address_tokens, length(business_address) = 0 AS address_is_empty FROM n")
+def address_tokens(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", "address_clean", _joined("address_tokens"), "address_is_empty")
+
+
+@query(f"SELECT entity_id, array_to_string({_NUMBERS}, '|') AS address_numbers FROM n")
+def address_numbers(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", _joined("address_numbers"))
+
+
+@query(r"SELECT entity_id, array_to_string(list_transform(regexp_extract_all(trim(country || '-' || left(name_lower, 20)), '\p{L}+|\P{L}+'), lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2))), '') AS country_norm FROM n")
+def country_title(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", t.title(F.concat("country", F.lit("-"), F.left("name_lower", F.lit(20)))).alias("country_norm"))
+
+
+@query("SELECT entity_source, count(*) AS n FROM n GROUP BY 1")
+def entity_source(spark, sf_dir):
+    return profile.value_counts(_normal(spark, sf_dir), "entity_source")
+
+
+# Profiles
+
+
+def _profile_sql(c: str) -> str:
+    return f"""SELECT '{c}' AS name, count(*) FILTER ({c} IS NULL) AS n_missing, count(*) FILTER (coalesce({c}, '') = '') AS n_empty_string,
+  count(*) FILTER (regexp_matches(coalesce({c}, ''), '[^\\x00-\\x7F]')) AS n_nonascii, min(length({c})) FILTER ({c} <> '') AS length_min, max(length({c})) FILTER ({c} <> '') AS length_max,
+  coalesce(sum(length({c})) FILTER ({c} <> ''), 0)::BIGINT AS length_sum, count(*) FILTER ({c} <> '') AS length_count, count(DISTINCT {c}) FILTER ({c} <> '') AS unique_values,
+  round(avg(length({c})) FILTER ({c} <> ''), 6) AS length_mean, count(DISTINCT {c}) FILTER ({c} <> '') >= 200000 AS approx_unique_is_capped FROM e"""
+
+
+@query(" UNION ALL ".join(_profile_sql(c) for c in RAW))
+def profile_columns(spark, sf_dir):
+    return profile.profile_columns(e.entities(spark, sf_dir), list(RAW)).withColumn("length_mean", F.round("length_mean", 6))
+
+
+@query("SELECT name, place, value FROM (SELECT 'business_name' AS name, row_number() OVER (ORDER BY doc_id)::INTEGER AS place, business_name AS value FROM e WHERE business_name <> '') WHERE place <= 5")
+def profile_examples(spark, sf_dir):
+    return profile.example_values(e.entities(spark, sf_dir), "doc_id", ["business_name"])
+
+
+@query(
+    """
+, x AS (SELECT matched_entity_ids AS ids, CASE WHEN matched_entity_ids <> '' THEN string_split(matched_entity_ids, ',') END AS p FROM truth)
+SELECT count(*) FILTER (p IS NULL) AS n_singleton, count(p) AS n_nonsingleton, round(count(*) FILTER (p IS NULL) / count(*), 6) AS singleton_rate, coalesce(sum(len(p)), 0)::BIGINT AS total_matches,
+  round(coalesce(avg(len(p)), 0), 6) AS avg_matches_per_nonsingleton, coalesce(max(len(p)), 0)::BIGINT AS max_matches,
+  coalesce(sum(len(list_filter(p, lambda y: starts_with(y, 'S2-')))), 0)::BIGINT AS s2_match_count, coalesce(sum(len(list_filter(p, lambda y: starts_with(y, 'S3-')))), 0)::BIGINT AS s3_match_count FROM x
+"""
+)
+def profile_ground_truth(spark, sf_dir):
+    found = profile.profile_truth(e.truth(spark, sf_dir))
+    return found.withColumns({c: F.round(c, 6) for c in ("singleton_rate", "avg_matches_per_nonsingleton")})
+
+
+@query(r"SELECT count(*) AS row_count, count(*) FILTER (regexp_matches(url, '\.(com|in|net|org)([^\p{L}\p{N}_]|$)', 'i')) AS domain_style_name_count, round(count(*) FILTER (regexp_matches(url, '\.(com|in|net|org)([^\p{L}\p{N}_]|$)', 'i')) / count(*), 6) AS domain_style_name_rate FROM pages")
+def domain_hint_rate(spark, sf_dir):
+    return profile.domain_hint(e.table(spark, sf_dir, "pages"), "url").withColumn("domain_style_name_rate", F.round("domain_style_name_rate", 6))
+
+
+# Lists of ids
+
+
+@query("SELECT source1_entity_id, trim(id) AS candidate_entity_id FROM (SELECT DISTINCT source1_entity_id, unnest(string_split(matched_entity_ids || ', ,' || matched_entity_ids, ',')) AS id FROM truth) WHERE trim(id) <> '' GROUP BY ALL")
+def explode_candidates(spark, sf_dir):
+    ids = F.concat("matched_entity_ids", F.lit(", ,"), "matched_entity_ids")
+    return blocking.explode_candidates(e.truth(spark, sf_dir).select("source1_entity_id", ids.alias("candidate_entity_ids")))
+
+
+@query("SELECT source1_entity_id, array_to_string(list_sort(list_distinct(list_filter(string_split(matched_entity_ids, ','), lambda y: y <> ''))), '|') AS ids FROM truth")
+def parse_matched_ids(spark, sf_dir):
+    piped = F.when(F.crc32(F.col("source1_entity_id").cast("binary")) % 2 == 0, F.replace("matched_entity_ids", F.lit(","), F.lit(" | "))).otherwise(F.replace("matched_entity_ids", F.lit(","), F.lit(";")))
+    return e.truth(spark, sf_dir).select("source1_entity_id", F.array_join(F.array_sort(t.matched_ids(piped)), "|").alias("ids"))
+
+
+@query("SELECT entity_id, business_name FROM e WHERE entity_id IN (SELECT unnest(string_split(matched_entity_ids, ',')) FROM truth) AND entity_id LIKE 'S2-%'")
+def required_ids_semi(spark, sf_dir):
+    return pairs.required_rows(e.entities(spark, sf_dir), pairs.required_ids(e.truth(spark, sf_dir), "S2")).select("entity_id", "business_name")
+
+
+@query("SELECT p_name AS value, count(*) AS n, min(p_partkey) AS first_id, max(p_partkey) AS last_id FROM part WHERE trim(p_name) <> '' GROUP BY 1")
+def inverted_index(spark, sf_dir):
+    found = blocking.inverted_index(e.table(spark, sf_dir, "part"), "p_name", "p_partkey")
+    return found.select("value", F.size("ids").cast("long").alias("n"), F.element_at("ids", 1).alias("first_id"), F.element_at("ids", -1).alias("last_id"))
+
+
+# Blocking
+
+
+@query("SELECT entity_id, 'name:' || trim(name_core) AS key FROM n WHERE trim(name_core) <> '' UNION ALL SELECT entity_id, 'name_prefix:' || left(trim(name_core), 3) FROM n WHERE length(trim(name_core)) >= 3")
+def blocking_keys(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", F.explode(t.blocking_keys(F.col("name_core"))).alias("key"))
+
+
+_PAIR = "x.doc_id AS source1_index, y.doc_id AS source2_index, x.entity_id AS source1_entity_id, y.entity_id AS source2_entity_id"
+_NAME = r"regexp_replace(regexp_replace({0}, '^\s+', ''), '\s+$', '')"
+_TRIMMED = f""", s1 AS (SELECT doc_id, entity_id, {_NAME.format("name_core")} AS k FROM h1), s2 AS (SELECT doc_id, entity_id, {_NAME.format("name_core")} AS k FROM h2),
+big AS (SELECT left(k, 3) AS p FROM s2 WHERE length(k) >= 3 GROUP BY 1 HAVING count(*) > 1000),
+exact AS (SELECT {_PAIR} FROM s1 x JOIN s2 y ON x.k = y.k WHERE x.k <> ''),
+pre AS (SELECT {_PAIR} FROM s1 x JOIN s2 y ON left(x.k, 3) = left(y.k, 3) WHERE length(x.k) >= 3 AND length(y.k) >= 3 AND left(y.k, 3) NOT IN (SELECT p FROM big)),
+cand AS (SELECT * FROM exact UNION SELECT * FROM pre)
+"""
+
+
+@query(_TRIMMED + "SELECT * FROM exact")
+def block_exact(spark, sf_dir):
+    return blocking.exact_pairs(*e.heads(spark, sf_dir), index="doc_id")
+
+
+@query(_TRIMMED + "SELECT * FROM pre")
+def block_prefix(spark, sf_dir):
+    return blocking.prefix_pairs(*e.heads(spark, sf_dir), index="doc_id")
+
+
+@query(_TRIMMED + "SELECT * FROM cand")
+def block_candidates(spark, sf_dir):
+    return blocking.generate_candidates(*e.heads(spark, sf_dir), index_column="doc_id")
+
+
+@query("SELECT left(c_name, 3) AS prefix_key, count(*) AS n FROM customer WHERE length(c_name) >= 3 GROUP BY 1 HAVING count(*) > 1000")
+def block_gate_skipped(spark, sf_dir):
+    return blocking.oversized_prefixes(e.table(spark, sf_dir, "customer"), "c_name")
+
+
+@query(_TRIMMED + "SELECT count(*)::DOUBLE AS total_candidate_pairs, count(DISTINCT source1_index)::DOUBLE AS unique_source1_entities, count(DISTINCT source2_index)::DOUBLE AS unique_source2_entities, round(coalesce(count(*) / nullif(count(DISTINCT source1_index), 0), 0), 6) AS avg_candidates_per_source1 FROM cand")
+def candidate_volume(spark, sf_dir):
+    return blocking.candidate_volume(block_candidates(spark, sf_dir)).withColumn("avg_candidates_per_source1", F.round("avg_candidates_per_source1", 6))
+
+
+@query(_TRIMMED + """, g AS (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS source2_entity_id FROM truth), f AS (SELECT g.*, c.source1_index FROM g LEFT JOIN cand c USING (source1_entity_id, source2_entity_id) WHERE source2_entity_id <> '')
+SELECT count(*)::DOUBLE AS total_true_pairs, count(source1_index)::DOUBLE AS recovered_true_pairs, round(coalesce(count(source1_index) / nullif(count(*), 0), 0), 6) AS blocking_recall FROM f""")
+def blocking_recall(spark, sf_dir):
+    return blocking.blocking_recall(block_candidates(spark, sf_dir), e.truth(spark, sf_dir)).withColumn("blocking_recall", F.round("blocking_recall", 6))
+
+
+@query(_TRIMMED + "SELECT source1_entity_id, string_agg(source2_entity_id, ',' ORDER BY source2_entity_id) AS candidate_entity_ids FROM cand GROUP BY 1")
+def candidate_lists(spark, sf_dir):
+    return blocking.to_candidate_lists(block_candidates(spark, sf_dir))
+
+
+# Features of the pairs that share a normalized-name prefix
+
+
+def _candidate_pairs(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    one, rest = e.sources(spark, sf_dir)
+    found = blocking.generate_candidates(one, rest, index_column="doc_id")
+    return one, rest, found.select("source1_entity_id", F.col("source2_entity_id").alias("candidate_entity_id"))
+
+
+_BOTH = rf""", r AS (SELECT *, {_NAME_TOKENS} AS nt, {_ADDRESS_TOKENS} AS at, {_NUMBERS} AS nums FROM n),
+r1 AS (SELECT * FROM r WHERE entity_source = 'S1'), r2 AS (SELECT * FROM r WHERE entity_source <> 'S1'),
+rbig AS (SELECT left(name_core, 3) AS p FROM r2 WHERE length(name_core) >= 3 GROUP BY 1 HAVING count(*) > 1000),
+c AS (SELECT x.entity_id AS source1_entity_id, y.entity_id AS candidate_entity_id, x.name_core AS n1, y.name_core AS n2, x.nt AS t1, y.nt AS t2, x.at AS a1, y.at AS a2, x.nums AS d1, y.nums AS d2,
+    x.country AS c1, y.country AS c2, length(x.business_name) = 0 AS e1, length(y.business_name) = 0 AS e2, length(x.business_address) = 0 AS f1, length(y.business_address) = 0 AS f2, y.entity_source AS src
+  FROM r1 x JOIN r2 y ON (x.name_core <> '' AND x.name_core = y.name_core) OR (length(x.name_core) >= 3 AND length(y.name_core) >= 3 AND left(x.name_core, 3) = left(y.name_core, 3) AND left(y.name_core, 3) NOT IN (SELECT p FROM rbig)))
+"""
+
+
+def _jaccard_sql(a: str, b: str) -> str:
+    return f"CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN round(len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))), 6) ELSE 0 END::DOUBLE"
+
+
+def _features(spark, sf_dir, *names: str) -> DataFrame:
+    one, rest, found = _candidate_pairs(spark, sf_dir)
+    out = features.pair_features(one, rest, found)
+    return out.select("source1_entity_id", "candidate_entity_id", *[F.round(c, 6).alias(c) if dict(out.dtypes)[c] == "double" else F.col(c) for c in names])
+
+
+@query(_BOTH + f"SELECT source1_entity_id, candidate_entity_id, {_jaccard_sql('t1', 't2')} AS name_token_jaccard, {_jaccard_sql('a1', 'a2')} AS address_token_jaccard FROM c")
+def feat_token_jaccard(spark, sf_dir):
+    return _features(spark, sf_dir, "name_token_jaccard", "address_token_jaccard")
+
+
+@query(_BOTH + "SELECT source1_entity_id, candidate_entity_id, CASE WHEN n1 <> '' AND n2 <> '' AND (contains(n1, n2) OR contains(n2, n1)) THEN 1 ELSE 0 END::DOUBLE AS name_containment FROM c")
+def feat_containment(spark, sf_dir):
+    return _features(spark, sf_dir, "name_containment")
+
+
+@query(_BOTH + "SELECT source1_entity_id, candidate_entity_id, CASE WHEN n1 = '' OR n2 = '' THEN 0 ELSE round(len(list_filter(range(1, least(length(n1), length(n2)) + 1), lambda i: left(n1, i) = left(n2, i))) / greatest(length(n1), length(n2)), 6) END::DOUBLE AS name_prefix_similarity FROM c")
+def feat_prefix(spark, sf_dir):
+    return _features(spark, sf_dir, "name_prefix_similarity")
+
+
+
+
+def _phonetic_sql(name: str) -> str:
+    letters = rf"regexp_replace(upper(replace({name}, 'ß', 'ss')), '[^\p{{L}}]', '', 'g')"
+    coded = f"regexp_replace(translate({letters}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202'), '[^0-6]', '0', 'g')"
+    for d in range(7):
+        coded = f"regexp_replace({coded}, '{d}+', '{d}', 'g')"
+    return f"CASE WHEN {letters} = '' THEN '' ELSE left(left({letters}, 1) || replace(substr({coded}, 2), '0', '') || '000', 4) END"
+
+
+@query(f"SELECT entity_id, {_phonetic_sql('name_core')} AS code FROM n")
+def phonetic_codes(spark, sf_dir):
+    return _normal(spark, sf_dir).select("entity_id", s.phonetic(F.col("name_core")).alias("code"))
+
+
+@query(_BOTH + f"SELECT source1_entity_id, candidate_entity_id, CASE WHEN {_phonetic_sql('n1')} <> '' AND {_phonetic_sql('n1')} = {_phonetic_sql('n2')} THEN 1 ELSE 0 END::DOUBLE AS name_phonetic_match FROM c")
+def feat_phonetic(spark, sf_dir):
+    return _features(spark, sf_dir, "name_phonetic_match")
+
+
+def _grams_sql(name: str) -> str:
+    return f"list_concat(list_concat({', '.join(f'list_transform(range(1, length({name}) - {n - 2}), lambda i: substr({name}, i, {n}))' for n in (2, 3))}), list_transform(range(1, length({name}) - 2), lambda i: substr({name}, i, 4)))"
+
+
+@query(
+    _BOTH
+    + f""", p AS (SELECT DISTINCT source1_entity_id AS i, candidate_entity_id AS j, n1, n2 FROM c),
+g1 AS (SELECT i, j, g, count(*) AS tf FROM (SELECT i, j, unnest({_grams_sql("n1")}) AS g FROM p) GROUP BY ALL),
+g2 AS (SELECT i, j, g, count(*) AS tf FROM (SELECT i, j, unnest({_grams_sql("n2")}) AS g FROM p) GROUP BY ALL),
+w AS (SELECT coalesce(g1.i, g2.i) AS i, coalesce(g1.j, g2.j) AS j, coalesce(g1.tf, 0) AS u, coalesce(g2.tf, 0) AS v, CASE WHEN g1.tf IS NULL OR g2.tf IS NULL THEN ln(1.5) + 1 ELSE 1 END AS k
+  FROM g1 FULL JOIN g2 ON g1.i = g2.i AND g1.j = g2.j AND g1.g = g2.g),
+o AS (SELECT i, j, sum(u * v * k * k) / nullif(sqrt(sum(u * u * k * k)) * sqrt(sum(v * v * k * k)), 0) AS x FROM w GROUP BY ALL)
+SELECT p.i AS source1_entity_id, p.j AS candidate_entity_id, round(coalesce(x, 0), 6) AS name_char_ngram_cosine FROM p LEFT JOIN o USING (i, j)"""
+)
+def feat_ngram_cosine(spark, sf_dir):
+    return _features(spark, sf_dir, "name_char_ngram_cosine")
+
+
+@query(_BOTH + """SELECT source1_entity_id, candidate_entity_id, CASE WHEN len(list_filter(d1, lambda x: len(list_filter(d2, lambda y: abs(try_cast(x AS HUGEINT) - try_cast(y AS HUGEINT)) <= 2)) > 0)) > 0 THEN 1 ELSE 0 END::DOUBLE AS address_number_tolerant_match FROM c""")
+def feat_numbers(spark, sf_dir):
+    return _features(spark, sf_dir, "address_number_tolerant_match")
+
+
+@query(_BOTH + r"SELECT source1_entity_id, candidate_entity_id, round(CASE WHEN n1 = '' OR n2 = '' THEN 0 ELSE jaro_winkler_similarity(n1, n2) END, 6) AS name_jaro_winkler FROM c WHERE NOT regexp_matches(n1 || n2, '[^\x00-\x7F]')")
+def feat_jaro_winkler(spark, sf_dir):
+    one, rest, found = _candidate_pairs(spark, sf_dir)
+    ascii_only = lambda df: df.where(~F.col("name_core").rlike(t.NON_ASCII))
+    out = features.pair_features(ascii_only(one), ascii_only(rest), found)
+    return out.select("source1_entity_id", "candidate_entity_id", F.round("name_jaro_winkler", 6).alias("name_jaro_winkler"))
+
+
+@query()
+def feat_indel(spark, sf_dir):
+    return _features(spark, sf_dir, "name_levenshtein", "address_string_similarity")
+
+
+@query(_BOTH + "SELECT source1_entity_id, candidate_entity_id, (lower(c1) = lower(c2) AND c1 <> '')::INTEGER AS country_match, e1::INTEGER AS name1_empty, e2::INTEGER AS name2_empty, f1::INTEGER AS address1_empty, f2::INTEGER AS address2_empty, (src = 'S2')::INTEGER AS is_source2_pair, (src = 'S3')::INTEGER AS is_source3_pair FROM c")
+def feat_flags(spark, sf_dir):
+    return _features(spark, sf_dir, "country_match", "name1_empty", "name2_empty", "address1_empty", "address2_empty", "is_source2_pair", "is_source3_pair")
+
+
+@query()
+def pair_features(spark, sf_dir):
+    return _features(spark, sf_dir, *FEATURES)
+
+
+@query(
+    f""", b AS (SELECT item_id AS id, regexp_replace(regexp_replace(lower(left(text, 60)), '^\\s+|\\s+$', '', 'g'), '\\s\\s+', ' ', 'g') AS x FROM benchmark),
+g AS (SELECT id, g, count(*) AS tf FROM (SELECT id, unnest({_grams_sql("x")}) AS g FROM b) GROUP BY ALL),
+d AS (SELECT g, ln((1 + (SELECT count(*) FROM b)) / (1 + count(*))) + 1 AS idf FROM g GROUP BY g),
+w AS (SELECT id, g, tf * idf AS w FROM g JOIN d USING (g)), l AS (SELECT id, sqrt(sum(w * w)) AS l FROM w GROUP BY id), u AS (SELECT id, g, w / l AS w FROM w JOIN l USING (id))
+SELECT p.i, p.j, round(coalesce(sum(x.w * y.w), 0), 6) AS cosine FROM (SELECT id AS i, id + 1 AS j FROM b WHERE id + 1 IN (SELECT id FROM b)) p LEFT JOIN u x ON x.id = p.i LEFT JOIN u y ON y.id = p.j AND y.g = x.g GROUP BY p.i, p.j"""
+)
+def tfidf_corpus_cosine(spark, sf_dir):
+    items = e.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.left("text", F.lit(60)).alias("text"))
+    near = items.select(F.col("id").alias("i"), (F.col("id") + 1).alias("j")).join(items.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j")
+    weights = tfidf.char_tfidf(items)
+    return tfidf.pair_cosine(weights, weights, near).select("i", "j", F.round("cosine", 6).alias("cosine"))
+
+
+# Training pairs and evaluation
+
+
+def _training_inputs(spark, sf_dir):
+    one, rest = e.heads(spark, sf_dir)
+    return one, rest.where("entity_id like 'S2-%'"), rest.where("entity_id like 'S3-%'"), e.truth(spark, sf_dir)
+
+
+@query("SELECT DISTINCT source1_entity_id, id AS candidate_entity_id, 1 AS label FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS id FROM truth) WHERE id LIKE 'S2-%'")
+def training_positives(spark, sf_dir):
+    one, two, _, gt = _training_inputs(spark, sf_dir)
+    return pairs.positive_pairs(one, two, gt, "S2")
+
+
+@query(
+    """, p AS (SELECT source1_entity_id, len(list_filter(string_split(matched_entity_ids, ','), lambda y: starts_with(y, 'S2-'))) AS p FROM truth)
+SELECT source1_entity_id, p::BIGINT AS positives, least((SELECT count(*) FROM h2 WHERE entity_id LIKE 'S2-%') - p, greatest(1, 2 * p))::BIGINT AS negatives FROM p"""
+)
+def negative_counts(spark, sf_dir):
+    one, two, _, gt = _training_inputs(spark, sf_dir)
+    drawn = pairs.training_pairs(one, two, gt, "S2")
+    return drawn.groupBy("source1_entity_id").agg(F.sum("label").cast("long").alias("positives"), F.sum(1 - F.col("label")).cast("long").alias("negatives"))
+
+
+@query("SELECT 0::BIGINT AS groups_in_several_folds, 5::BIGINT AS folds, count(*) AS groups FROM h1")
+def fold_assignment(spark, sf_dir):
+    one, two, three, gt = _training_inputs(spark, sf_dir)
+    dealt = model.assign_folds(pairs.combined_training_pairs(one, two, three, gt))
+    per_group = dealt.groupBy("source1_entity_id").agg(F.count_distinct("fold").alias("n"), F.min("fold").alias("fold"))
+    return per_group.agg(F.sum((F.col("n") > 1).cast("long")).alias("groups_in_several_folds"), F.count_distinct("fold").alias("folds"), F.count("*").alias("groups"))
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    docs = e.table(spark, sf_dir, "documents").select("doc_id", "lang", (F.pmod(F.col("n_chars") * 7 + F.col("doc_id"), F.lit(1000)) / 1000.0).alias("probability"))
+    return docs.join(e.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+
+
+_SCORED = """, s AS (SELECT lang, ((n_chars * 7 + doc_id) % 1000) / 1000.0 AS probability, quality AS label FROM documents JOIN labels USING (doc_id)),
+t AS (SELECT i / 100.0 AS threshold FROM range(1, 100) r(i)),
+c AS (SELECT threshold, count(*) FILTER (probability >= threshold AND label = 1) AS tp, count(*) FILTER (probability >= threshold AND label = 0) AS fp, count(*) FILTER (probability < threshold AND label = 1) AS fn FROM s, t GROUP BY threshold),
+f AS (SELECT *, coalesce(1.25 * tp / nullif(1.25 * tp + 0.25 * fn + fp, 0), 0)::DOUBLE AS f_half FROM c)
+"""
+
+
+@query(_SCORED + "SELECT threshold::DOUBLE AS threshold, tp, fp, fn, round(f_half, 6) AS f_half FROM f")
+def threshold_sweep(spark, sf_dir):
+    return model.threshold_sweep(_scored(spark, sf_dir)).withColumn("f_half", F.round("f_half", 6))
+
+
+@query(_SCORED + "SELECT threshold::DOUBLE AS threshold, round(f_half, 6) AS f_half FROM f ORDER BY f.f_half DESC, threshold LIMIT 1")
+def best_threshold(spark, sf_dir):
+    return model.best_threshold(_scored(spark, sf_dir)).withColumn("f_half", F.round("f_half", 6))
+
+
+@query(_SCORED + "SELECT count(*) AS n, round(avg(probability), 6)::DOUBLE AS mean, round(stddev(probability), 6)::DOUBLE AS std, min(probability)::DOUBLE AS min, round(quantile_cont(probability::DOUBLE, 0.25), 6) AS p25, round(quantile_cont(probability::DOUBLE, 0.5), 6) AS p50, round(quantile_cont(probability::DOUBLE, 0.75), 6) AS p75, max(probability)::DOUBLE AS max FROM s")
+def score_summary(spark, sf_dir):
+    out = profile.score_summary(_scored(spark, sf_dir), "probability")
+    return out.select("n", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@query(_SCORED + "SELECT label, lang, count(*) AS n FROM s GROUP BY ALL")
+def label_distribution(spark, sf_dir):
+    return profile.value_counts(_scored(spark, sf_dir), "label", "lang")
+
+
+@query()
+def train_and_score(spark, sf_dir):
+    """A small package fitted on labelled pairs, then applied to the blocked candidates."""
+    one, rest = e.sources(spark, sf_dir)
+    two, three = rest.where("entity_source = 'S2'"), rest.where("entity_source = 'S3'")
+    labelled = pairs.combined_training_pairs(one, two, three, e.truth(spark, sf_dir))
+    rows = features.training_features(one, two, three, labelled).cache()
+    package, _ = model.train(rows, trees=5, depth=4, folds=3)
+    found = blocking.generate_candidates(one, rest, index_column="doc_id")
+    return model.predict(one, rest, found.select("source1_entity_id", F.col("source2_entity_id").alias("candidate_entity_id")), package)
