@@ -18,7 +18,6 @@ each; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,6 +38,7 @@ class Unigram:
     def __init__(self, scores: dict[str, float], byte_score: float):
         self.scores, self.byte_score = scores, byte_score
         self.longest = max(map(len, scores), default=1)
+        self.tails = {p[k:] for p in scores for k in range(len(p))}  # no piece ends in anything else
         self.reset()
 
     @classmethod
@@ -55,18 +55,22 @@ class Unigram:
         return _MODELS[path]
 
     def reset(self) -> None:
-        """An empty trie: children by (node, character), then per node the best score and its number of tokens."""
-        self.children: dict[tuple[int, str], int] = {}
-        self.best, self.tokens, self.terminal = [0.0], [0], {}
+        """An empty trie: children by node and character, per node its best score and number of tokens; terminal: tokens by word."""
+        self.children: dict[int, int] = {}
+        self.states: list[tuple[float, int]] = [(0.0, 0)]
+        self.terminal: dict[str, int] = {}
 
     def step(self, text: str, stop: int, states: list[tuple[float, int]]) -> tuple[float, int]:
         """The state of text[:stop] from those of its last prefixes: states[-k] belongs to text[:stop - k]."""
         n = len(text[stop - 1].encode("utf-8", "surrogatepass"))
         score, tokens = states[-1]
         top, count = score + n * self.byte_score, tokens + n
-        get = self.scores.get
-        for k in range(1, min(self.longest, stop, len(states)) + 1):
-            own = get(text[stop - k : stop])
+        get, tails = self.scores.get, self.tails
+        for k in range(1, min(stop, len(states)) + 1):
+            tail = text[stop - k : stop]
+            if tail not in tails:
+                break
+            own = get(tail)
             if own is not None:
                 s, c = states[-k]
                 s, c = s + own, c + 1
@@ -75,31 +79,31 @@ class Unigram:
         return top, count
 
     def count(self, word: str) -> int:
-        """Tokens of one pre-token, its mark included."""
+        """Tokens of one pre-token, given without its mark."""
         found = self.terminal.get(word)
         if found is not None:
             return found
-        if len(word) > LONG:
+        marked = MARK + word
+        if len(marked) > LONG:
             states = [(0.0, 0)]
-            for stop in range(1, len(word) + 1):
-                states.append(self.step(word, stop, states))
+            for stop in range(1, len(marked) + 1):
+                states.append(self.step(marked, stop, states))
                 if len(states) > self.longest + 1:
                     del states[0]
             return states[-1][1]
-        if len(self.best) > NODES:
+        if len(self.states) > NODES:
             self.reset()
-        node, states, children = 0, [(0.0, 0)], self.children
-        for stop in range(1, len(word) + 1):
-            child = children.get((node, word[stop - 1]))
+        node, states, children, every = 0, [(0.0, 0)], self.children, self.states
+        for stop, c in enumerate(marked, 1):
+            key = node * 0x110000 + ord(c)
+            child = children.get(key)
             if child is None:
-                top, tokens = self.step(word, stop, states)
-                child = children[node, word[stop - 1]] = len(self.best)
-                self.best.append(top)
-                self.tokens.append(tokens)
+                child = children[key] = len(every)
+                every.append(self.step(marked, stop, states))
             node = child
-            states.append((self.best[node], self.tokens[node]))
-        self.terminal[word] = self.tokens[node]
-        return self.tokens[node]
+            states.append(every[node])
+        self.terminal[word] = every[node][1]
+        return every[node][1]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -112,17 +116,13 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             for part in pieces(iter([batch]), "text"):
                 chars, words, tokens = [], [], []
                 for text in column(part, "text"):
-                    found = re.findall(r"\S+", text or "")
+                    found = (text or "").split()
                     chars.append(len(text or ""))
                     words.append(len(found))
-                    known, total = model.terminal, 0
-                    for w in found:
-                        n = known.get(MARK + w)
-                        if n is None:
-                            n = model.count(MARK + w)
-                            known = model.terminal
-                        total += n
-                    tokens.append(total)
+                    counts = list(map(model.terminal.get, found))
+                    if None in counts:
+                        counts = [model.count(w) if n is None else n for w, n in zip(found, counts, strict=True)]
+                    tokens.append(sum(counts))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(part.schema.get_field_index("doc_id")), *(pa.array(x, pa.int64()) for x in (chars, words, tokens))],
                     names=["doc_id", "n_chars", "n_pretokens", "n_tokens"],
