@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from matchloom.llm.common import column, held_out, pieces, read
 
 WORDS, GRAMS, MOST, SHARPEN = 100_000, 50_000, 5, 20
-#: Distinct words a task counts before it sends them on, and words it remembers the backoff of.
+#: Distinct words or n-grams that a task counts before it sends them on.
 FLUSH = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -116,32 +116,41 @@ class Model:
             counts[keys[k], lang] = n
         return np.log((counts + 0.5) / (totals + 0.5 * max(1, len(keys)))[None]).astype(np.float32)
 
-    def backoff(self, word: str) -> np.ndarray:
-        for size in range(min(self.most, len(word) + 2), 0, -1):
+    def backoff(self, word: str) -> tuple[int, list[int]]:
+        """Length and row numbers of the n-grams that stand for an unseen word; length 0 if none is known."""
+        w = f"<{word}>"
+        for size in range(min(self.most, len(w)), 0, -1):
             get = self.grams[size].get
-            known = [k for g in grams(word, size) if (k := get(g)) is not None]
+            if size == 1:
+                known = [k for k in map(get, word) if k is not None]
+            else:
+                known = [k for i in range(len(w) - size + 1) if (k := get(w[i : i + size])) is not None]
             if known:
-                return self.gram_logs[size][known].mean(0)
-        return np.zeros(len(self.langs), np.float32)
+                return size, known
+        return 0, []
 
-    def predict(self, found: list[str], memory: dict[str, np.ndarray]) -> tuple[str, float]:
+    def predict(self, found: list[str]) -> tuple[str, float]:
         if not found or not self.langs:
             return "und", 0.0
-        get = self.words.get
-        rows = [get(w, -1) for w in found]
-        seen = np.array(rows)
-        known = np.bincount(seen[seen >= 0], minlength=0)
-        used = np.flatnonzero(known)
-        total = (self.word_logs[used] * known[used, None]).sum(0, dtype=np.float64) if len(used) else np.zeros(len(self.langs))
-        if len(used) == 0 or (seen < 0).any():
-            for w, r in zip(found, rows, strict=True):
-                if r < 0:
-                    v = memory.get(w)
-                    if v is None:
-                        v = self.backoff(w)
-                        if len(memory) < FLUSH // 3:
-                            memory[w] = v
-                    total += v
+        counts = Counter(found)
+        rows = list(map(self.words.get, counts))
+        pairs = [(r, n) for r, n in zip(rows, counts.values(), strict=True) if r is not None]
+        total = np.zeros(len(self.langs))
+        if pairs:
+            known, times = np.array(pairs).T
+            total += times @ self.word_logs[known]
+        if len(pairs) < len(counts):  # n-grams of all unseen words at once, each weighted to its word's mean
+            by_size: list[tuple[list[int], list[int], list[float]]] = [([], [], []) for _ in range(self.most + 1)]
+            for (w, n), r in zip(counts.items(), rows, strict=True):
+                if r is None:
+                    size, own = self.backoff(w)
+                    ids, lengths, times = by_size[size]
+                    ids += own
+                    lengths.append(len(own))
+                    times.append(n)
+            for size, (ids, lengths, times) in enumerate(by_size):
+                if ids:
+                    total += np.repeat(np.array(times) / np.array(lengths), lengths) @ self.gram_logs[size][ids]
         x = (total - total.max()) / len(found) * min(len(found), SHARPEN)
         e = np.exp(x)
         k = int(total.argmax())
@@ -172,10 +181,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in pieces(iter([batch]), "text"):
-                found = [sent.value.predict(words(t), memory) for t in column(part, "text")]
+                found = [sent.value.predict(words(t)) for t in column(part, "text")]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
