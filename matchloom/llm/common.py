@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -22,11 +24,36 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: lineage ends there, and lost executors cost nothing above it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+_TABLES: dict[str, SparkSession] = {}  # tables this driver wrote and hasn't discarded
+
+
+def cut(df: DataFrame, name: str, pool: list[str] | None = None) -> DataFrame:
+    """Write df once to the shared folder and read it back: lineage ends there, and lost executors cost nothing above it.
+
+    pool collects the paths of tables that their operator discards once nothing reads them."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _TABLES:
+        atexit.register(_discard_all)
+    _TABLES[path] = spark
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if pool is not None:
+        pool.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(pool: list[str], keep: int = 0) -> None:
+    """Delete the tables of pool, the last keep of them excepted."""
+    for path in pool[: len(pool) - keep]:
+        if spark := _TABLES.pop(path, None):
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    del pool[: len(pool) - keep]
+
+
+def _discard_all() -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before the driver
+        discard(list(_TABLES))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import column, cut, pieces, read
+from matchloom.llm.common import column, cut, discard, pieces, read
 
 #: A subtree on so many different pages of a host, and on this share of the host's pages, is template.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -257,9 +257,9 @@ def count_subtrees(pages: DataFrame) -> DataFrame:
     return table.mapInArrow(run, "host string, h long, page long")
 
 
-def _recurring(rows: DataFrame) -> DataFrame:
+def _recurring(rows: DataFrame, pool: list[str]) -> DataFrame:
     # A hash names its host, so pages per hash and pages per host are the same count; copies of a page count once
-    counted = rows.distinct().groupBy("host", "h").agg(F.count("*").alias("n"))
+    counted = cut(rows.distinct().groupBy("host", "h").agg(F.count("*").alias("n")), "html-counts", pool)
     sizes = counted.where("h = 0").select("host", F.col("n").alias("pages"))
     many = counted.where(f"h != 0 and n >= {MIN_PAGES}").join(sizes, "host")
     return many.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("h")
@@ -267,7 +267,9 @@ def _recurring(rows: DataFrame) -> DataFrame:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars."""
-    hashes = cut(_recurring(count_subtrees(pages)), "html-templates")
+    pool: list[str] = []
+    hashes = cut(_recurring(count_subtrees(pages), pool), "html-templates", pool)
+    discard(pool, keep=1)
     table = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     if hashes.count() <= BROADCAST:
         found = np.array([r["h"] for r in hashes.collect()], np.int64)
