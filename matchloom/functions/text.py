@@ -88,8 +88,9 @@ def numbers(raw: Column) -> Column:
 
 
 def title(c: Column) -> Column:
-    """str.title(): a capital behind everything but a letter; of a letter with two capitals the second is small."""
-    runs = F.regexp_extract_all(strip(filled(c)), F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    """str.title(): a capital behind everything but a letter with case; of a letter with two capitals the second is small."""
+    cased = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+    runs = F.regexp_extract_all(strip(filled(c)), F.lit(f"[{cased}]+|[^{cased}]+"), F.lit(0))
 
     def capital(run: Column) -> Column:
         first = F.upper(F.left(run, F.lit(1)))
