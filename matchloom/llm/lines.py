@@ -5,8 +5,8 @@ that a space follows; the pieces are its lines. Over the hashes of lines a rolli
 chunk ends where that hash is lower than both its neighbours. The place depends on four lines alone, so equal
 passages are cut alike wherever they stand, and chunks inside a text hold two lines at least.
 
-A chunk of MIN_LINES lines and MIN_WORDS words or more that occurs more than once is kept where it comes
-first, by (doc_id, position), and removed elsewhere, once its bytes are compared with the other occurrences'.
+A chunk of MIN_LINES lines and MIN_WORDS words or more, or of one line of LONG_LINE words or more (which can be where
+a text begins or ends), that occurs more than once is kept where it comes first, by (doc_id, position), and removed elsewhere, once its bytes are compared with the other occurrences'.
 Blanks around a line and line ends don't count. Chunk hashes are counted with partial sums; only the texts of
 chunks whose hash repeats are shuffled for the comparison.
 
@@ -20,11 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import cut, read
+from matchloom.llm.common import cut, discard, read
 
 # The strings behind which a line ends.
 LINE_ENDS = ("\n", ". ", "! ", "? ", "; ", ": ", ", ", "… ", "。", "！", "？", "；", "，", "、")
-MIN_LINES, MIN_WORDS = 2, 8
+MIN_LINES, MIN_WORDS, LONG_LINE = 2, 8, 50
 #: So many repeated hashes, or chunks to remove, are broadcast (some tens of bytes each); beyond it both sides are shuffled.
 BROADCAST = 2_000_000
 _CUT = "\x01"
@@ -48,10 +48,9 @@ def normal(line: Column) -> Column:
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, key (hash of the text), chunks: array of (start, stop, hash); lines start + 1 to stop, MIN_LINES at least."""
-    hashed = docs.where("text != ''").select(
-        "doc_id", F.xxhash64("text").alias("key"), F.transform(lines(F.col("text")), lambda x: F.xxhash64(normal(x))).alias("h")
-    )
+    """doc_id, key (hash of the text), chunks: array of (start, stop, hash); lines start + 1 to stop, MIN_LINES at least or one long one."""
+    cut_up = docs.where("text != ''").select("doc_id", F.xxhash64("text").alias("key"), lines(F.col("text")).alias("u"))
+    hashed = cut_up.withColumn("h", F.transform("u", lambda x: F.xxhash64(normal(x))))
     before = F.concat(F.array(F.lit(0).cast("long")), F.col("h"))
     rolled = hashed.withColumn("r", F.zip_with("h", before, lambda a, b: F.xxhash64(a, b))).withColumn("n", F.size("h"))
     # r[i] (from 0) mixes lines i and i + 1 of the text, counted from 1; the piece past the end is never looked at
@@ -62,18 +61,19 @@ def chunks(docs: DataFrame) -> DataFrame:
     ends = F.when(F.col("n") < 4, F.array("n")).otherwise(F.concat(low, F.array("n")))
     ended = rolled.withColumn("stops", ends).withColumn("starts", F.concat(F.array(F.lit(0)), "stops"))
     found = F.zip_with("starts", "stops", lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
-    long = F.filter(found, lambda c: c["stop"] - c["start"] >= MIN_LINES)  # the last start has no stop
+    size = lambda c: c["stop"] - c["start"]  # noqa: E731  # null for the last start, which has no stop
+    long = F.filter(found, lambda c: (size(c) >= MIN_LINES) | (size(c) == 1) & (F.length(F.get("u", c["start"])) >= 2 * LONG_LINE - 1))
     hash_of = F.transform(
         "c", lambda c: F.struct(c["start"], c["stop"], F.xxhash64(F.slice("h", c["start"] + 1, c["stop"] - c["start"])).alias("hash"))
     )
     return ended.withColumn("c", long).select("doc_id", "key", hash_of.alias("chunks"))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Chunks to remove: doc_id, key, start, stop."""
-    spread = cut(chunks(docs), "line-chunks").select("doc_id", "key", F.explode("chunks").alias("c")).select("doc_id", "key", "c.*")
-    often = cut(spread.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "line-often")
-    marked = cut(spread.join(_small(often, often.count()), "hash"), "line-marked")
+def repeats(docs: DataFrame, pool: list[str]) -> DataFrame:
+    """Chunks to remove: doc_id, key, start, stop. pool: gets the tables behind it."""
+    spread = cut(chunks(docs), "line-chunks", pool).select("doc_id", "key", F.explode("chunks").alias("c")).select("doc_id", "key", "c.*")
+    often = cut(spread.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "line-often", pool)
+    marked = cut(spread.join(_small(often, often.count()), "hash"), "line-marked", pool)
     per_doc = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "stop", "hash")).alias("c"))
     texts = docs.where("text != ''").select("doc_id", F.xxhash64("text").alias("key"), "text").alias("t")
     met = texts.join(per_doc.hint("merge").alias("m"), F.expr("t.key = m.key and t.doc_id <=> m.doc_id"))
@@ -81,7 +81,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     body = lambda c: F.array_join(F.transform(F.slice("u", c["start"] + 1, c["stop"] - c["start"]), normal), "\n")
     bodies = F.transform("c", lambda c: F.struct(c["start"], c["stop"], c["hash"], body(c).alias("body")))
     bodies = cut_up.select("doc_id", "key", F.explode(bodies).alias("c")).select("doc_id", "key", "c.*")
-    bodies = cut(bodies.where(F.regexp_count("body", F.lit(r"\S+")) >= MIN_WORDS), "line-bodies")
+    least = F.when(F.col("stop") - F.col("start") >= MIN_LINES, MIN_WORDS).otherwise(LONG_LINE)
+    bodies = cut(bodies.where(F.regexp_count("body", F.lit(r"\S+")) >= least), "line-bodies", pool)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key", "start")
     first = bodies.groupBy("hash", "body").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     return (
@@ -93,24 +94,28 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """docs with repeated chunks taken out of text, plus chunks_removed and chars_removed."""
-    gone = cut(repeats(docs), "line-gone")
-    per_doc = gone.groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("gone"))
+def dedup_lines(docs: DataFrame, counts: bool = True) -> DataFrame:
+    """docs with repeated chunks taken out of text; counts adds (or replaces) chunks_removed and chars_removed."""
+    pool: list[str] = []
+    gone = cut(repeats(docs, pool), "line-gone")
+    discard(pool)
+    per_doc = gone.groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__gone"))
     per_doc = _small(per_doc, gone.count()).withColumnsRenamed({"doc_id": "__id", "key": "__key"})
     met = docs.join(per_doc, F.xxhash64("text").eqNullSafe(F.col("__key")) & docs["doc_id"].eqNullSafe(F.col("__id")), "left")
-    cut_up = met.withColumn("__u", F.when(F.col("gone").isNotNull(), lines(F.col("text"))))
-    from_ = F.concat(F.array(F.lit(0)), F.transform("gone", lambda g: g["stop"]))
-    to = F.concat(F.transform("gone", lambda g: g["start"]), F.array(F.size("__u")))
+    cut_up = met.withColumn("__u", F.when(F.col("__gone").isNotNull(), lines(F.col("text"))))
+    from_ = F.concat(F.array(F.lit(0)), F.transform("__gone", lambda g: g["stop"]))
+    to = F.concat(F.transform("__gone", lambda g: g["start"]), F.array(F.size("__u")))
     kept = F.zip_with(from_, to, lambda a, b: F.array_join(F.slice("__u", a + 1, b - a), ""))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
     done = cut_up.withColumn("__text", text)
-    out = [F.col("__text").alias("text") if c == "text" else F.length("__text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    return done.select(
-        *out,
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("chunks_removed"),
-        F.coalesce(F.length("text") - F.length("__text"), F.lit(0)).cast("long").alias("chars_removed"),
-    )
+    new = {"text": F.col("__text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
+    if counts:
+        new["chunks_removed"] = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
+        new["chars_removed"] = F.coalesce(F.length(docs["text"]) - F.length("__text"), F.lit(0)).cast("long")
+    names = [*docs.columns, *(c for c in new if c not in docs.columns)]
+    return done.select(*[new[c].alias(c) if c in new else docs[c] for c in names])
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

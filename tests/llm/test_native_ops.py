@@ -161,7 +161,7 @@ def brute_dedup(docs):
         u = [x for x in chunks[1]]
         for a, b in chunks[0]:
             body = "\n".join(x.replace("\n", " ").strip(" ") for x in u[a:b])
-            if len(body.split()) >= lines.MIN_WORDS:
+            if len(body.split()) >= (lines.MIN_WORDS if b - a > 1 else lines.LONG_LINE):
                 first = seen.setdefault(body, (d, text, a))
                 if first != (d, text, a):
                     gone[d, text] |= set(range(a, b))
