@@ -10,7 +10,8 @@ from matchloom.functions.similarity import grams, ngram_text
 
 def char_tfidf(texts: DataFrame, id_column: str = "id", text_column: str = "text") -> DataFrame:
     """id, gram, w: weights of 2- to 4-grams with idf = ln((1 + n) / (1 + df)) + 1, of length 1 per text."""
-    rows = texts.select(F.col(id_column).alias("id"), F.explode(grams(ngram_text(F.col(text_column)))).alias("gram"))
+    clean = texts.select(F.col(id_column).alias("id"), ngram_text(F.col(text_column)).alias("clean"))
+    rows = clean.select("id", F.explode(grams(F.col("clean"))).alias("gram"))
     counts = rows.groupBy("id", "gram").agg(F.count("*").alias("tf"))
     total = texts.agg(F.count("*").alias("n"))
     weights = counts.groupBy("gram").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total)).select("gram", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))

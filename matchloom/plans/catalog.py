@@ -92,9 +92,9 @@ def address_numbers(spark, sf_dir):
     return _normal(spark, sf_dir).select("entity_id", _joined("address_numbers"))
 
 
-@query(r"SELECT entity_id, array_to_string(list_transform(regexp_extract_all(trim(country || '-' || left(name_lower, 20)), '\p{L}+|\P{L}+'), lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2))), '') AS country_norm FROM n")
+@query(r"SELECT entity_id, array_to_string(list_transform(regexp_extract_all(trim(country || '-' || name_lower), '\p{L}+|\P{L}+'), lambda x: CASE WHEN left(x, 1) = 'ß' THEN 'Ss' ELSE upper(left(x, 1)) END || lower(substr(x, 2))), '') AS country_norm FROM n")
 def country_title(spark, sf_dir):
-    return _normal(spark, sf_dir).select("entity_id", t.title(F.concat("country", F.lit("-"), F.left("name_lower", F.lit(20)))).alias("country_norm"))
+    return _normal(spark, sf_dir).select("entity_id", t.title(F.concat("country", F.lit("-"), "name_lower")).alias("country_norm"))
 
 
 @query("SELECT entity_source, count(*) AS n FROM n GROUP BY 1")
@@ -330,14 +330,14 @@ def pair_features(spark, sf_dir):
 
 
 @query(
-    f""", b AS (SELECT item_id AS id, regexp_replace(regexp_replace(lower(left(text, 60)), '^\\s+|\\s+$', '', 'g'), '\\s\\s+', ' ', 'g') AS x FROM benchmark),
+    f""", b AS (SELECT item_id AS id, regexp_replace(regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g'), '\\s\\s+', ' ', 'g') AS x FROM benchmark),
 g AS (SELECT id, g, count(*) AS tf FROM (SELECT id, unnest({_grams_sql("x")}) AS g FROM b) GROUP BY ALL),
 d AS (SELECT g, ln((1 + (SELECT count(*) FROM b)) / (1 + count(*))) + 1 AS idf FROM g GROUP BY g),
 w AS (SELECT id, g, tf * idf AS w FROM g JOIN d USING (g)), l AS (SELECT id, sqrt(sum(w * w)) AS l FROM w GROUP BY id), u AS (SELECT id, g, w / l AS w FROM w JOIN l USING (id))
 SELECT p.i, p.j, round(coalesce(sum(x.w * y.w), 0), 6) AS cosine FROM (SELECT id AS i, id + 1 AS j FROM b WHERE id + 1 IN (SELECT id FROM b)) p LEFT JOIN u x ON x.id = p.i LEFT JOIN u y ON y.id = p.j AND y.g = x.g GROUP BY p.i, p.j"""
 )
 def tfidf_corpus_cosine(spark, sf_dir):
-    items = e.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.left("text", F.lit(60)).alias("text"))
+    items = e.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
     near = items.select(F.col("id").alias("i"), (F.col("id") + 1).alias("j")).join(items.select(F.col("id").alias("j")), "j", "left_semi").select("i", "j")
     weights = tfidf.char_tfidf(items)
     return tfidf.pair_cosine(weights, weights, near).select("i", "j", F.round("cosine", 6).alias("cosine"))
