@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchloom.llm import decontaminate, jaccard, lines, mixing, quality
-from matchloom.llm.common import cut, read
+from matchloom.llm.common import cut, discard, read
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(docs).select(*docs.columns)
+    return lines.dedup_lines(docs, counts=False)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +49,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = cut(docs, "pipeline")
-    return docs
+    docs, written = read(spark, sf_dir, "documents"), []
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), "pipeline", written)
+        discard(written, keep=1)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -65,6 +67,28 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+#: Bytes of an Arrow batch, on either side: two tasks of an executor hold two of them each, in the JVM and in Python.
+BATCH = 8 << 20
+
+
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with batches of bounded bytes, in workers that give their memory back after each task.
+
+    Idle workers live on beside the JVM's next stages, so what they keep counts against the executor."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64000000").rstrip("b")) > BATCH:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return df.mapInArrow(trimmed, schema)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import pieces, read, utf8, words_alnum
+from matchloom.llm.common import arrow, pieces, read, utf8, words_alnum
 
 WINDOW = 10
 #: Words of the benchmark in one slice, and bytes of text in one shard.
@@ -104,7 +104,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPAN).alias("matches"))
     for part in _slices(benchmark):
         items = [(r["item_id"], r["text"].encode() if r["text"] is not None else None) for r in part.collect()]
-        table = table.mapInArrow(_matcher(table.sparkSession.sparkContext.broadcast(items), window), table.schema)
+        table = table.transform(arrow, _matcher(table.sparkSession.sparkContext.broadcast(items), window), table.schema)
     return table
 
 
@@ -158,14 +158,14 @@ def score(matched: DataFrame) -> DataFrame:
             )
 
     kind = f"doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, matches {SPAN}"
-    return matched.select("doc_id", "n_words", "matches").mapInArrow(run, kind)
+    return matched.select("doc_id", "n_words", "matches").transform(arrow, run, kind)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of docs, all columns, that hold no window of the benchmark."""
     for part in _slices(benchmark):
         items = [(r["item_id"], r["text"].encode() if r["text"] is not None else None) for r in part.collect()]
-        docs = docs.mapInArrow(_cleaner(docs.sparkSession.sparkContext.broadcast(items), window), docs.schema)
+        docs = docs.transform(arrow, _cleaner(docs.sparkSession.sparkContext.broadcast(items), window), docs.schema)
     return docs
 
 

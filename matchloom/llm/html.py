@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import column, cut, discard, pieces, read
+from matchloom.llm.common import arrow, column, cut, discard, pieces, read
 
 #: A subtree on so many different pages of a host, and on this share of the host's pages, is template.
 MIN_PAGES, MIN_SHARE = 5, 0.02
@@ -254,7 +254,7 @@ def count_subtrees(pages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(hashes, pa.int64()), pa.array(page, pa.int64())], names=["host", "h", "page"])
 
     table = pages.where("html != ''").select("url", "html", F.xxhash64("html").alias("page"))
-    return table.mapInArrow(run, "host string, h long, page long")
+    return table.transform(arrow, run, "host string, h long, page long")
 
 
 def _recurring(rows: DataFrame, pool: list[str]) -> DataFrame:
@@ -273,10 +273,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     table = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     if hashes.count() <= BROADCAST:
         found = np.array([r["h"] for r in hashes.collect()], np.int64)
-        return table.mapInArrow(_extractor(table.sparkSession.sparkContext.broadcast(found)), EXTRACTED)
+        return table.transform(arrow, _extractor(table.sparkSession.sparkContext.broadcast(found)), EXTRACTED)
     own = count_subtrees(pages).join(hashes, "h").groupBy("page").agg(F.collect_set("h").alias("own"))
     met = table.withColumn("page", F.xxhash64("html")).join(own, "page", "left").select("page_id", "url", "html", "own")
-    return met.mapInArrow(_extractor(None), EXTRACTED)
+    return met.transform(arrow, _extractor(None), EXTRACTED)
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

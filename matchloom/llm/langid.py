@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import column, held_out, pieces, read
+from matchloom.llm.common import arrow, column, held_out, pieces, read
 
 WORDS, GRAMS, MOST, SHARPEN = 100_000, 50_000, 5, 20
 #: Distinct words or n-grams that a task counts before it sends them on.
@@ -64,7 +64,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return docs.select("text", "lang").where("text is not null and lang is not null").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return docs.select("text", "lang").where("text is not null and lang is not null").transform(arrow, run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def count_grams(counted: DataFrame, most: int = MOST) -> DataFrame:
@@ -88,7 +88,7 @@ def count_grams(counted: DataFrame, most: int = MOST) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    return counted.mapInArrow(run, "lang string, size long, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    return counted.transform(arrow, run, "lang string, size long, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -187,7 +187,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
-    return table.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return table.transform(arrow, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

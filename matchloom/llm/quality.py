@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import cut, held_out, pieces, read, utf8
+from matchloom.llm.common import arrow, cut, discard, held_out, pieces, read, utf8
 
 POOLED, DIAGONAL, FLOOR = 0.05, 0.05, 1e-3
 THRESHOLD = 0.3
@@ -101,7 +101,7 @@ def measure(docs: DataFrame) -> DataFrame:
                 rows = [statistics(t) for t in utf8(part, "text")]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, x array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(arrow, run, "doc_id long, x array<double>")
 
 
 class Discriminant:
@@ -165,12 +165,12 @@ def classify(measured: DataFrame, model: Discriminant) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in measured.schema.fields)
-    return measured.mapInArrow(run, f"{fields}, score double, predicted int")
+    return measured.transform(arrow, run, f"{fields}, score double, predicted int")
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, Discriminant]:
+def fit_documents(docs: DataFrame, labels: DataFrame, pool: list[str] | None = None) -> tuple[DataFrame, Discriminant]:
     """The statistics of docs (written once) and the model that its training rows give."""
-    measured = cut(measure(docs), "quality-statistics")
+    measured = cut(measure(docs), "quality-statistics", pool)
     train = measured.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     return measured, fit(train, labels)
 
@@ -182,7 +182,9 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that the model fitted on them doesn't reject; texts are judged in place."""
-    _, model = fit_documents(docs, labels)
+    pool: list[str] = []
+    _, model = fit_documents(docs, labels, pool)
+    discard(pool)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +193,7 @@ def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 x = np.array([statistics(t) for t in utf8(part, "text")])
                 yield part.filter(pa.array(np.round(sent.value.score(x), 9) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(arrow, run, docs.schema)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import column, pieces, read
+from matchloom.llm.common import arrow, column, pieces, read
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -129,7 +129,7 @@ def count_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 )
 
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return table.mapInArrow(run, "doc_id long, n_chars long, n_pretokens long, n_tokens long")
+    return table.transform(arrow, run, "doc_id long, n_chars long, n_pretokens long, n_tokens long")
 
 
 def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:

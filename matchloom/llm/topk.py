@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import cut, read
+from matchloom.llm.common import arrow, cut, read
 
 PIVOTS, BLOCK, GROUP, QUERIES, NEAR = 64, 512, 64, 2048, 4
 SLACK = 1e-6  # of a bound, for rounding; widens the search, never narrows it
@@ -120,9 +120,9 @@ def index(vectors: DataFrame, pivots: np.ndarray, dim: int, top: float) -> DataF
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], schema=pa.schema([("block", pa.int64()), ("pivot", pa.int32()), ("lo", pa.float64()), ("hi", pa.float64()), ("ids", pa.binary()), ("rows", pa.binary())]))
 
-    keyed = vectors.mapInArrow(key, "vec_id long, v array<long>, pivot int, far double")
+    keyed = vectors.transform(arrow, key, "vec_id long, v array<long>, pivot int, far double")
     ordered = keyed.repartitionByRange("pivot", "far", "vec_id").sortWithinPartitions("pivot", "far", "vec_id")
-    return cut(ordered.mapInArrow(pack, BLOCKS), "topk-blocks")
+    return cut(ordered.transform(arrow, pack, BLOCKS), "topk-blocks")
 
 
 def _search(queries, blocks, pivots: np.ndarray, dim: int, top: float, k: int) -> tuple[list, list, list]:
@@ -198,7 +198,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, n_pivots: int = P
                 far = _far(np.hstack([rows, np.zeros((len(rows), 1))]), sent.value)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far.argmin(1).astype(np.int32))], names=["query_id", "v", "pivot"])
 
-    asked = cut(queries.where("vec_id is not null").select(F.col("vec_id").alias("query_id"), "v").distinct().mapInArrow(home, "query_id long, v array<long>, pivot int"), "topk-queries")
+    asked = cut(queries.where("vec_id is not null").select(F.col("vec_id").alias("query_id"), "v").distinct().transform(arrow, home, "query_id long, v array<long>, pivot int"), "topk-queries")
     run = _searcher(sent, dim, top, k)
     groups = max(1, -(-n // (BLOCK * GROUP)))
     packs = max(1, -(-asked.count() // QUERIES))
