@@ -6,15 +6,18 @@ its smallest doc_id; classes are joined. Two sets link when 100 * |x & y| >= 75
 1. Candidates. Under any one order of shingles, two linked sets share one of their first n - ceil(3n/4) + 1 (prefix
    filter). The order is by hash, with shingles that are common anywhere put last, so that a passage
    which many texts share leads no text to others. Classes that share a prefix shingle are a group.
-2. Stars. Every group's members are compared with its smallest member only. Group by group this is linear, and it joins
-   what belongs to large sets of near copies; the links' components follow by alternating star contraction.
-3. Tiles. Only groups that still hold several components can hold links that matter. Their members, in order of size, are
-   cut into tiles of at most TILE rows; a tile meets the tiles of its group in its band of sizes (3/4 to 4/3). A set's bitmap marks
-   each hash modulo its width; |x & y| <= (|x| + |y| - bits(x xor y)) / 2 discards most pairs of different components,
-   and the rest are compared exactly. Then components are joined once more.
-
-Every link is thus either found or connects what is already connected: components are exact. No group is
-collected in one task: stars are salted to STAR members, tiles hold TILE.
+   With a required overlap o, the prefixes of x and y share at least min(o - ceil(3|x|/4), o - ceil(3|y|/4)) + 1 shingles.
+2. Stars. A group's members are compared with its smallest member only, if they share half of what they must. Group by
+   group this is linear, and it joins what belongs to large sets of near copies; the links' components follow by
+   alternating star contraction.
+3. The rest. Only groups that still hold several components can hold links that matter. In groups of at most SMALL members,
+   pairs of different components are counted and must share what they must. Larger groups are cut into bands by size and
+   tiles of about TILE rows; a tile meets those of its group in its own and the next band (sizes further apart can't
+   link; tiles of the group's largest component don't meet each other). A set's bitmap marks each hash modulo its width; |x & y| <= (|x| + |y| - bits(x xor y)) / 2 discards most
+   pairs of different components. What is left is compared exactly, and components are joined once more.
+
+Every link is thus either found or connects what is already connected: components are exact. No group is held in
+one task: the rows of a common shingle stream through one, stars are salted to STAR members, and tiles hold about TILE.
 
 Defined cases: texts without words have an empty set, link with nothing and are their own component; a text of fewer than 5
 words has one shingle, the whole sequence; rows that share a doc_id are one document with the links of all their
@@ -27,16 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import cut, pieces, read, utf8, words_space
+from matchloom.llm.common import arrow, cut, discard, pieces, read, utf8, words_space
 
 SIZE, PERCENT = 5, 75
-#: Members of a star's part and of a tile; shingles put last; shingles a task counts at a time; words it remembers.
-STAR, TILE, COMMON, COUNTED, MEMORY = 512, 256, 200_000, 3_000_000, 400_000
+#: Members of a star's part, of a small group and of a tile; shingles put last; shingles a task counts at a time; words it remembers.
+STAR, SMALL, TILE, COMMON, COUNTED, MEMORY = 512, 32, 256, 200_000, 3_000_000, 400_000
 #: Ids up to this many are broadcast to the texts; beyond it texts are shuffled.
 BROADCAST = 2_000_000
 
@@ -121,15 +123,15 @@ def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def bits_for(n: int) -> int:
-    """Twice a set's size as a power of two, 64 at least and 65536 at most."""
-    return min(65_536, max(64, 1 << (2 * n - 1).bit_length()))
+    """At least four times a set's size, as a power of two; 64 at least and 65536 at most."""
+    return min(65_536, max(64, 1 << (4 * n - 1).bit_length()))
 
 
 def _signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, pool: list[str] | None = None) -> DataFrame:
     """Per row: kind 0, doc_id, n, fp. Per shingle that a task saw often: kind 1, n (texts) and token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +140,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
         def common():
             tokens, counts = np.unique(np.concatenate(seen), return_counts=True)
-            often = counts >= 4
+            often = counts >= 2
             k = int(often.sum())
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(counts[often].astype(np.int64)), pa.nulls(k, pa.binary()), _signed(tokens[often])], names=names)
@@ -160,7 +162,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield common()
 
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return cut(table.mapInArrow(run, "kind int, doc_id long, n long, fp binary, token long"), "jaccard-sets")
+    return cut(table.transform(arrow, run, "kind int, doc_id long, n long, fp binary, token long"), "jaccard-sets", pool)
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -190,94 +192,113 @@ def prefix_tokens(docs: DataFrame, others: DataFrame, common: np.ndarray) -> Dat
 
     table = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = table.join(F.broadcast(others) if others.count() <= BROADCAST else others, "doc_id", "left_anti")
-    return kept.mapInArrow(run, "token long, id long, n int")
+    return kept.transform(arrow, run, "token long, id long, n int")
 
 
-def groups(tokens: DataFrame) -> DataFrame:
-    """Of classes that share a token. kind 0: a pair (a, b), a the smallest of a group. kind 1: gid, b, n of a group of three or more."""
+def must_share(n: int, m: int, percent: int = PERCENT) -> int:
+    """The least number of shingles that the prefixes of linked sets of n and m shingles have in common."""
+    overlap = -(-percent * (n + m) // (100 + percent))
+    return overlap + 1 - max(-(-percent * n // 100), -(-percent * m // 100))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: set[tuple[int, int]] = set()
-        known: set[int] = set()
-        schema = pa.schema([("kind", pa.int32()), ("gid", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32())])
-        token, ids, sizes, first, told = None, [], [], (0, 0), False  # the open group; told: it was too long to hold
-
-        def flush_pairs():
-            if pairs:
-                a, b = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
-                pairs.clear()
-                k = len(a)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(k, np.int32)), pa.nulls(k, pa.int64()), pa.array(a), pa.array(b), pa.nulls(k, pa.int32())], schema=schema)
 
-        def members(gid, i, n):
-            k = len(i)
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array([gid] * k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(i, pa.int64()), pa.array(n, pa.int32())], schema=schema)
+def must_share_column(n: str, m: str):
+    """must_share of two columns."""
+    up = lambda x, d: f"cast(({x} + {d} - 1) div {d} as bigint)"
+    return F.expr(f"{up(f'{PERCENT}L * ({n} + {m})', 100 + PERCENT)} + 1 - {up(f'{PERCENT}L * greatest({n}, {m})', 100)}")
 
-        def add(i, n, lead):
-            """Pairs of members with the first; sizes that can't link are left to the tiles."""
-            lead_id, lead_n = lead
-            for x, m in zip(i, n, strict=True):
-                if x != lead_id and 100 * min(m, lead_n) >= PERCENT * max(m, lead_n):
-                    pairs.add((lead_id, x))
+
+def groups(tokens: DataFrame, pool: list[str] | None = None) -> DataFrame:
+    """Of classes that share a token. kind 0: a, b, weight: tokens that b shares with a, the smallest of the group, if
+    their sizes allow a link. kind 1: gid, b, n, weight: a member of a group that stands for weight tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("kind", pa.int32()), ("gid", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("n", pa.int32()), ("weight", pa.int64())])
+        stars: dict[tuple[int, int, int, int], int] = {}
+        known: dict[tuple[tuple[int, int], ...], int] = {}  # groups with equal members, as the tokens of one passage give
+        held = 0
+        token, own, lead, told = None, [], (0, 0), False  # the open group; told: part of it is out already
+
+        def star(members, weight):
+            for b, m in members:
+                if b != lead[0] and 100 * min(m, lead[1]) >= PERCENT * max(m, lead[1]):
+                    key = (lead[0], b, lead[1], m)
+                    stars[key] = stars.get(key, 0) + weight
+
+        def rows(gid, members, weight):
+            k = len(members)
+            b, n = zip(*members, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.array([gid] * k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.int32()), pa.array(n, pa.int32()), pa.array([weight] * k, pa.int64())], schema=schema)
+
+        def flush():
+            nonlocal held, lead
+            out = [(xxhash.xxh64_intdigest(repr(m)) >> 1, m, w) for m, w in known.items()]
+            keep = lead
+            for _, m, w in out:
+                lead = m[0]
+                star(m, w)
+            lead = keep
+            if out:
+                gid = np.repeat(np.array([g for g, _, _ in out], np.int64), [len(m) for _, m, _ in out])
+                weight = np.repeat(np.array([w for _, _, w in out], np.int64), [len(m) for _, m, _ in out])
+                b, n = zip(*(x for _, m, _ in out for x in m), strict=True)
+                k = len(b)
+                yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.array(gid), pa.nulls(k, pa.int64()), pa.array(b, pa.int64()), pa.nulls(k, pa.int32()), pa.array(n, pa.int32()), pa.array(weight)], schema=schema)
+            known.clear()
+            held = 0
+            if stars:
+                a, b, na, n = zip(*stars, strict=True)
+                k = len(a)
+                yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(na, pa.int32()), pa.array(n, pa.int32()), pa.array(list(stars.values()), pa.int64())], schema=schema)
+            stars.clear()
 
         def close():
-            nonlocal told
-            if told:
-                yield members(token, ids, sizes)
-                add(ids, sizes, first)
-            elif len(ids) > 1:
-                key = xxhash.xxh64_intdigest(np.array(ids, np.int64).tobytes()) >> 1
-                if key not in known:  # tokens of one passage give the same group over and over
-                    if len(known) < MEMORY:
-                        known.add(key)
-                    add(ids, sizes, first)
-                    if len(ids) > 2:
-                        yield members(key, ids, sizes)
-            ids.clear()
-            sizes.clear()
-            told = False
+            nonlocal own, told, held
+            if told and own:
+                yield rows(token, own, 1)
+                star(own, 1)
+            elif len(own) > 1:
+                key = tuple(own)
+                if key not in known:
+                    held += len(key)
+                known[key] = known.get(key, 0) + 1
+            own, told = [], False
 
         for batch in batches:
             t, i, n = (batch.column(k).to_numpy() for k in range(3))
             if not len(t):
                 continue
             edges = np.concatenate(([0], np.flatnonzero(np.diff(t)) + 1, [len(t)]))
-            sizes_of = np.diff(edges)
             # Groups of one inside the batch are over at once; its first and last can go on in other batches
-            keep = np.flatnonzero((sizes_of > 1) | (edges[:-1] == 0) | (edges[1:] == len(t)))
-            for g in keep.tolist():
+            for g in np.flatnonzero((np.diff(edges) > 1) | (edges[:-1] == 0) | (edges[1:] == len(t))).tolist():
                 lo, hi = edges[g], edges[g + 1]
                 if token is None or t[lo] != token:
                     yield from close()
-                    token, first = int(t[lo]), (int(i[lo]), int(n[lo]))
-                last = ids[-1] if ids else None
+                    token, lead = int(t[lo]), (int(i[lo]), int(n[lo]))
+                last = own[-1][0] if own else None
                 for x, m in zip(i[lo:hi].tolist(), n[lo:hi].tolist(), strict=True):
-                    if x != last:  # rows of one document
-                        ids.append(x)
-                        sizes.append(m)
+                    if x != last:  # not another row of one document
+                        own.append((x, m))
                     last = x
-                if len(ids) > 20_000:
-                    told = True
-                    yield members(token, ids, sizes)
-                    add(ids, sizes, first)
-                    ids.clear()
-                    sizes.clear()
-            if len(pairs) > MEMORY:
-                yield from flush_pairs()
+                if len(own) > 20_000:
+                    yield rows(token, own, 1)
+                    star(own, 1)
+                    own, told = [], True
+            if held + 2 * len(stars) > MEMORY:
+                yield from flush()
         yield from close()
-        yield from flush_pairs()
+        yield from flush()
 
     ordered = tokens.repartition("token").sortWithinPartitions("token", "id")
-    return cut(ordered.mapInArrow(run, "kind int, gid long, a long, b long, n int"), "jaccard-groups")
+    return cut(ordered.transform(arrow, run, "kind int, gid long, a long, b long, na int, n int, weight long"), "jaccard-groups", pool)
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def verify(docs: DataFrame, pairs: DataFrame, pool: list[str] | None = None) -> DataFrame:
     """The pairs (a, b) that link. Texts meet in parts of STAR members of one a."""
-    pairs = cut(pairs.select("a", "b").distinct(), "jaccard-pairs")
+    pairs = cut(pairs.select("a", "b").distinct(), "jaccard-pairs", pool)
     parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("long").alias("parts"))
     members = pairs.join(parts, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.lit(1).alias("role"))
     leads = parts.select(F.col("a").alias("id"), "a", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("role"))
-    rows = _texts_of(docs, cut(members.unionByName(leads), "jaccard-stars"))
+    rows = _texts_of(docs, cut(members.unionByName(leads), "jaccard-stars", pool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, key, lead = Shingles(), None, []
@@ -300,12 +321,12 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
 
     dealt = rows.select("a", "part", "role", "id", "text").repartition("a", "part").sortWithinPartitions("a", "part", "role")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.transform(arrow, run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, pool: list[str] | None = None) -> DataFrame:
     """id, component (the smallest id connected), of the ids in edges (a, b), by alternating large and small stars."""
-    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "jaccard-edges")
+    edges = cut(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "jaccard-edges", pool)
 
     def state(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -319,96 +340,133 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         near = large.join(least, "u")
         small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = cut(small.where("u != v").distinct(), "jaccard-edges")
+        edges = cut(small.where("u != v").distinct(), "jaccard-edges", pool)
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def _tiles(docs: DataFrame, members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b) that the tiles can't rule out: of one group, of different components."""
-    placed = members.select("gid", F.col("b").alias("id"), "n").distinct().join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def rest(docs: DataFrame, members: DataFrame, comps: DataFrame, pool: list[str] | None = None) -> DataFrame:
+    """Pairs (a, b) of different components that still may link; members: kind 1 of groups."""
+    merged = members.groupBy("gid", F.col("b").alias("id"), "n").agg(F.sum("weight").alias("weight"))  # equal groups of several tasks
+    placed = merged.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("gid").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows")).where("x != y")
-    # A row's tile is its place by size: bands of sizes first, then a salt that keeps a band's tiles small
+    left = cut(placed.join(mixed.select("gid", "rows"), "gid"), "jaccard-mixed", pool)
+    small, large = left.where(F.col("rows") <= SMALL), left.where(F.col("rows") > SMALL)
+    a = small.select("gid", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "weight")
+    b = small.select("gid", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    fits = f"a < b and ca != cb and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
+    counted = a.join(b, "gid").where(fits).groupBy("a", "b").agg(F.sum("weight").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    # Tokens of large groups aren't counted by pair; a pair shares as many as its member with fewer has, at most
+    more = cut(large.groupBy("id").agg(F.sum("weight").alias("more")), "jaccard-more", pool)
+    counted = counted.join(more.select(F.col("id").alias("a"), F.col("more").alias("ma")), "a", "left").join(more.select(F.col("id").alias("b"), F.col("more").alias("mb")), "b", "left")
+    enough = F.col("c") + F.coalesce(F.least(F.coalesce("ma", F.lit(0)), F.coalesce("mb", F.lit(0))), F.lit(0)) >= must_share_column("na", "nb")
+    return counted.where(enough).select("a", "b").unionByName(_tiles(docs, large, pool)).distinct()
+
+
+def _tiles(docs: DataFrame, large: DataFrame, pool: list[str] | None) -> DataFrame:
+    """Pairs (a, b) of large groups that bit counts can't rule out.
+
+    A group is cut by band of sizes, by whether a member is of the group's largest component, and by a salt that keeps
+    tiles small. Tiles of the largest component don't meet each other, as they hold no pair of different components."""
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / PERCENT))).cast("int")
-    left = cut(placed.join(mixed.select("gid"), "gid", "left_semi").withColumn("band", band), "jaccard-mixed")
-    counts = left.groupBy("gid", "band").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("tiles"))
-    tiled = left.join(counts, ["gid", "band"]).withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
-    shown = counts.select("gid", "band", F.explode(F.expr("sequence(0, tiles - 1)")).alias("tile"))
-    # Tile against tile, of one group and of bands next to each other (sizes further apart can't link); each pair once
-    x, y = shown.alias("x"), shown.alias("y")
-    meets = x.join(y, F.expr("x.gid = y.gid and (y.band = x.band and y.tile >= x.tile or y.band = x.band + 1)"))
-    meets = meets.select("x.gid", F.col("x.band").alias("band1"), F.col("x.tile").alias("tile1"), F.col("y.band").alias("band2"), F.col("y.tile").alias("tile2"))
-    marks = _marks(docs, left.select("id").distinct())
-    rows = tiled.join(marks, "id").select("gid", "band", "tile", "id", F.col("size").alias("n"), "component", "marks")
-    side1 = rows.select("gid", F.col("band").alias("band1"), F.col("tile").alias("tile1"), "id", "n", "component", "marks")
-    side2 = rows.select("gid", F.col("band").alias("band2"), F.col("tile").alias("tile2"), "id", "n", "component", "marks")
-    key = ["gid", "band1", "tile1", "band2", "tile2"]
-    one = meets.join(side1, ["gid", "band1", "tile1"]).select(*key, F.lit(1).alias("side"), "id", "n", "component", "marks")
-    two = meets.join(side2, ["gid", "band2", "tile2"]).select(*key, F.lit(2).alias("side"), "id", "n", "component", "marks")
-
-    def run(table: pa.Table) -> pa.Table:
-        sides = [table.filter(pc.equal(table.column("side"), k)) for k in (1, 2)]
-        return pa.table([pa.array(x, pa.int64()) for x in tile_pairs(*sides)], names=["a", "b"])
-
-    return one.unionByName(two).groupBy(*key).applyInArrow(run, "a long, b long").distinct()
-
-
-def _marks(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, size, marks: the bitmaps of documents, 1024 bits for sets up to 512, more for larger."""
+    left = large.select("gid", "id", "n", "component").distinct().withColumn("band", band)
+    sizes = left.groupBy("gid", "component").agg(F.count("*").alias("k"))
+    major = sizes.groupBy("gid").agg(F.max_by("component", F.struct("k", "component")).alias("top"))
+    left = left.join(major, "gid").withColumn("major", (F.col("component") == F.col("top")).cast("int"))
+    counts = left.groupBy("gid", "band", "major").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("tiles"))
+    tiled = left.join(counts, ["gid", "band", "major"]).withColumn("tile", F.pmod(F.xxhash64("id"), "tiles"))
+    tiled = tiled.select("gid", F.struct("band", "major", "tile").alias("cell"), "id", "n", "component")
+    shown = counts.withColumn("tile", F.explode(F.expr("sequence(0, tiles - 1)"))).select("gid", F.struct("band", "major", "tile").alias("cell"))
+    # Each tile with those of its band that come after, itself included, and with all of the next band
+    near = "x.cell.band = y.cell.band and x.cell <= y.cell or x.cell.band + 1 = y.cell.band"
+    meets = shown.alias("x").join(shown.alias("y"), F.expr(f"x.gid = y.gid and x.cell.major + y.cell.major < 2 and ({near})"))
+    meets = cut(meets.select("x.gid", F.xxhash64("x.cell", "y.cell").alias("meet"), F.col("x.cell").alias("one"), F.col("y.cell").alias("two")), "jaccard-meets", pool)
+    both = F.expr("if(one = two, array(struct(1 as side, one as cell)), array(struct(1 as side, one as cell), struct(2 as side, two as cell)))")
+    sides = meets.withColumn("s", F.explode(both)).select("gid", "meet", "s.*")
+    groups_of = left.groupBy("id").agg(F.collect_set("gid").alias("gids"))  # as many as the member's prefix is long, at most
+    rows = tiled.join(_marks(docs, left.select("id").distinct(), pool), "id").join(groups_of, "id")
+    met = sides.join(rows, ["gid", "cell"]).select("gid", "meet", "side", "id", "n", "component", "marks", "gids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sides = None, ([], [])
+        for batch in batches:
+            out = []
+            for r in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns)), strict=True):
+                if r[:2] != now:
+                    out += tile_pairs(now and now[0], *sides)
+                    now, sides = r[:2], ([], [])
+                sides[r[2] - 1].append(r[3:])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
+        if out := tile_pairs(now and now[0], *sides):
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
+
+    return met.repartition("gid", "meet").sortWithinPartitions("gid", "meet").transform(arrow, run, "a long, b long")
+
+
+def _marks(docs: DataFrame, ids: DataFrame, pool: list[str] | None) -> DataFrame:
+    """id, marks: the bitmaps of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = Shingles()
         for batch in pieces(batches, "text"):
             found = [sets.of(t) for t in utf8(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in found], pa.int32()), pa.array([bitmap(h, bits_for(len(h))).tobytes() for h in found], pa.binary())], names=["id", "size", "marks"])
-
-    return cut(_texts_of(docs, ids).select("id", "text").mapInArrow(run, "id long, size int, marks binary"), "jaccard-marks")
-
-
-def tile_pairs(left: pa.Table, right: pa.Table) -> tuple[list[int], list[int]]:
-    """(a, b) with a < b of two tiles: other components, and sizes and bit counts that allow a link."""
-    cols = [{k: t.column(k).to_pylist() for k in ("id", "n", "component", "marks")} for t in (left, right)]
-    out: tuple[list[int], list[int]] = ([], [])
-    widths = [np.array([8 * len(m) for m in c["marks"]]) for c in cols]
-    for w1 in np.unique(widths[0]):
-        for w2 in np.unique(widths[1]):
-            bits = int(min(w1, w2))
-            at = [np.flatnonzero(w == v) for w, v in zip(widths, (w1, w2), strict=True)]
-            maps = [np.stack([_fold(np.frombuffer(c["marks"][k], np.uint64), bits) for k in a]) for c, a in zip(cols, at, strict=True)]
-            ids, n, comp = ([np.array(c[k], np.int64)[a] for c, a in zip(cols, at, strict=True)] for k in ("id", "n", "component"))
-            for r in range(len(at[0])):
-                both = (n[0][r] + n[1] - np.bitwise_count(maps[1] ^ maps[0][r]).sum(1, dtype=np.int64)) // 2
-                fit = (100 * both >= PERCENT * (n[0][r] + n[1] - both)) & (comp[1] != comp[0][r]) & (ids[1] != ids[0][r])
-                for x in ids[1][fit].tolist():
-                    out[0].append(min(x, int(ids[0][r])))
-                    out[1].append(max(x, int(ids[0][r])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([bitmap(h, bits_for(len(h))).tobytes() for h in found], pa.binary())], names=["id", "marks"])
+
+    return cut(_texts_of(docs, ids).select("id", "text").transform(arrow, run, "id long, marks binary"), "jaccard-marks", pool)
+
+
+def tile_pairs(gid: int, left: list[tuple], right: list[tuple]) -> list[tuple[int, int]]:
+    """(a, b) with a < b of two tiles of (id, n, component, marks, gids), or within one if the right one is empty: other
+    components, and sizes and bit counts that allow a link. A pair of several groups is given by the first of them."""
+    out: list[tuple[int, int]] = []
+    alone, right = not right, right or left
+    sides = []
+    for rows in (left, right):
+        by_width: dict[int, list[tuple]] = {}
+        for r in rows:
+            by_width.setdefault(8 * len(r[3]), []).append(r)
+        sides.append({w: (*(np.array([r[k] for r in g], np.int64) for k in range(3)), np.stack([np.frombuffer(r[3], np.uint64) for r in g]), [set(r[4]) for r in g]) for w, g in by_width.items()})
+    for w1, (id1, n1, c1, m1, g1) in sides[0].items():
+        for w2, (id2, n2, c2, m2, g2) in sides[1].items():
+            bits = min(w1, w2)
+            x, y = _fold(m1, bits), _fold(m2, bits)
+            for r in range(len(id1)):
+                apart = (c2 != c1[r]) & (100 * np.minimum(n2, n1[r]) >= PERCENT * np.maximum(n2, n1[r]))
+                at = np.flatnonzero(apart & (id2 > id1[r]) if alone else apart)
+                if len(at):
+                    both = (n1[r] + n2[at] - np.bitwise_count(y[at] ^ x[r]).sum(1, dtype=np.int64)) // 2
+                    for k in at[100 * both >= PERCENT * (n1[r] + n2[at] - both)].tolist():
+                        if min(g1[r] & g2[k]) == gid:
+                            out.append((min(int(id2[k]), int(id1[r])), max(int(id2[k]), int(id1[r]))))
     return out
 
 
 def _fold(marks: np.ndarray, bits: int) -> np.ndarray:
-    """The bitmap of a power-of-two fraction of the width: hash modulo the smaller width."""
-    return np.bitwise_or.reduce(marks.reshape(-1, bits // 64), axis=0)
+    """Bitmaps, a row each, at a power-of-two fraction of their width: hash modulo the smaller width."""
+    return np.bitwise_or.reduce(marks.reshape(len(marks), -1, bits // 64), axis=1)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    docs = docs.select("doc_id", "text")
-    made = fingerprints(docs)
+    docs, pool = docs.select("doc_id", "text"), []
+    made = fingerprints(docs, pool)
     often = made.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON)
     common = np.sort(often.select("token").toArrow().column("token").to_numpy().view(np.uint64))
     sets = made.where("kind = 0").select("doc_id", "n", "fp")
-    classes = cut(sets.where("doc_id is not null and fp is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "jaccard-classes")
+    classes = cut(sets.where("doc_id is not null and fp is not null").groupBy("fp").agg(F.min("doc_id").alias("id")), "jaccard-classes", pool)
     named = cut(sets.join(classes, "fp", "left").select("doc_id", "n", "id"), "jaccard-named")
     known = named.where("id is not null and doc_id is not null")
     others = known.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("id")).alias("leads")).where("not leads").select("doc_id")
     # Rows of one doc_id in several classes tie these
     ties = known.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z").select("doc_id", "a")
     ties = known.join(ties, "doc_id").select("a", F.col("id").alias("b")).where("a != b").distinct()
-    grouped = groups(prefix_tokens(docs, others, common))
-    edges = cut(verify(docs, grouped.where("kind = 0")).unionByName(ties), "jaccard-links")
-    comps = cut(components(edges), "jaccard-components")
-    more = verify(docs, _tiles(docs, grouped.where("kind = 1"), comps))
-    all_edges = edges.unionByName(cut(more, "jaccard-links"))
-    comps = cut(components(all_edges), "jaccard-components")
+    grouped = groups(prefix_tokens(docs, others, common), pool)
+    stars = grouped.where("kind = 0").groupBy("a", "b", "na", "n").agg(F.sum("weight").alias("c"))
+    edges = cut(verify(docs, stars.where(2 * F.col("c") >= must_share_column("na", "n")), pool).unionByName(ties), "jaccard-links", pool)
+    comps = cut(components(edges, pool), "jaccard-components", pool)
+    more = cut(verify(docs, rest(docs, grouped.where("kind = 1"), comps, pool), pool), "jaccard-links", pool)
+    comps = cut(components(edges.unionByName(more), pool), "jaccard-components")
+    discard(pool)
     final = named.join(comps, "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
     return final.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
