@@ -9,6 +9,8 @@ from matchloom.functions import vectorized
 from matchloom.functions.tables import ABBREVIATIONS, SUFFIXES, WHITE
 
 NON_ASCII = r"[^\x00-\x7F]"
+#: Beyond ASCII and the range of Latin-1 that NFKC leaves as it is.
+BEYOND_LATIN = r"[^\x00-\x7F\x{C0}-\x{FF}]"
 TLD = r"\.(com|in|net|org|co|biz|info)(\.[a-z]{2})?"
 
 
@@ -25,18 +27,18 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{WHITE}+|{WHITE}+\z", "")
 
 
-def _foreign(c: Column, f) -> Column:
-    """f where c has other than ASCII characters; ASCII rows reach the Python worker as null."""
-    return F.coalesce(f(F.when(c.rlike(NON_ASCII), c)), c)
+def _where(pattern: str, c: Column, f) -> Column:
+    """f where c has characters of the pattern; other rows reach the Python worker as null."""
+    return F.coalesce(f(F.when(c.rlike(pattern), c)), c)
 
 
 def clean(c: Column) -> Column:
     """NFKC and squeezed; null to empty. Names and addresses alike."""
-    return squeeze(_foreign(filled(c), vectorized.nfkc))
+    return squeeze(_where(BEYOND_LATIN, filled(c), vectorized.nfkc))
 
 
 def to_ascii(c: Column) -> Column:
-    return _foreign(filled(c), vectorized.ascii_text)
+    return _where(NON_ASCII, filled(c), vectorized.ascii_text)
 
 
 def is_domain(raw: Column) -> Column:
@@ -52,23 +54,27 @@ def domain_name(raw: Column) -> Column:
     return F.when(is_domain(raw), F.lower(squeeze(spaced)))
 
 
-def _suffix_pattern() -> str:
-    keys = "|".join(k.replace(".", r"\.") for k in sorted(SUFFIXES, key=len, reverse=True))
-    return rf"[\s,.\-]*({keys})[\s.\-]*\z"
+KEYS = sorted(SUFFIXES, key=len, reverse=True)
+SUFFIX = rf"[\s,.\-]*({'|'.join(k.replace('.', chr(92) + '.') for k in KEYS)})[\s.\-]*\z"
+#: The same read from the end, where it is anchored: the longest key that fits, whatever marks stand behind it.
+_ENDING = "^(?:" + "|".join(rf"[\s.\-]*{k[::-1].replace('.', chr(92) + '.')}" for k in KEYS) + r")[\s,.\-]*"
 
 
-SUFFIX = _suffix_pattern()
+def _ending(bare: Column) -> Column:
+    """The legal suffix of a stripped name, with the marks around it; empty if there is none."""
+    return F.reverse(F.regexp_extract(F.reverse(bare), _ENDING, 0))
 
 
 def strip_suffix(name_lower: Column) -> Column:
     """Lower-cased name without its legal suffix. There need be nothing between name and suffix: zinc gives z."""
     bare = strip(name_lower)
-    return F.when(bare.rlike(SUFFIX), squeeze(F.btrim(F.regexp_replace(bare, SUFFIX, ""), F.lit(" ,.-")))).otherwise(bare)
+    end = _ending(bare)
+    return F.when(end != "", squeeze(F.btrim(F.left(bare, F.length(bare) - F.length(end)), F.lit(" ,.-")))).otherwise(bare)
 
 
 def suffix_of(name_lower: Column) -> Column:
     table = F.create_map(*[F.lit(x) for item in SUFFIXES.items() for x in item])
-    return F.try_element_at(table, F.regexp_extract(strip(name_lower), SUFFIX, 1))
+    return F.try_element_at(table, F.regexp_extract(_ending(strip(name_lower)), SUFFIX, 1))
 
 
 def name_tokens(core: Column) -> Column:
