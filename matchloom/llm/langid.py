@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -102,18 +103,18 @@ class Model:
         self.word_logs = self._table(self.words, ((w, at[g], n) for g, w, n in word_counts), np.array([word_totals.get(x, 0) for x in langs]))
         self.gram_logs = [np.zeros((0, len(langs)))]
         for size in range(1, most + 1):
-            own = ((g, at[x], n) for x, s, g, n in gram_counts if s == size)
+            own = ((g, at[x], n) for x, g, n in gram_counts(size))
             self.gram_logs.append(self._table(self.grams[size], own, np.array([gram_totals.get((x, size), 0) for x in langs])))
 
     @staticmethod
     def _table(keys: dict, rows, totals: np.ndarray) -> np.ndarray:
         """Logs of (n + 1/2) / (total + half the keys); a language that never had the key has n = 0."""
-        found = list(rows)
-        for k, _, _ in found:
-            keys.setdefault(k, len(keys))
+        found = array("q")
+        for key, lang, n in rows:
+            found.extend((keys.setdefault(key, len(keys)), lang, n))
+        k, lang, n = np.frombuffer(found, np.int64).reshape(-1, 3).T if found else np.zeros((3, 0), np.int64)
         counts = np.zeros((len(keys), len(totals)), np.float32)
-        for k, lang, n in found:
-            counts[keys[k], lang] = n
+        counts[k, lang] = n
         return np.log((counts + 0.5) / (totals + 0.5 * max(1, len(keys)))[None]).astype(np.float32)
 
     def backoff(self, word: str) -> tuple[int, list[int]]:
@@ -163,17 +164,25 @@ def fit(docs: DataFrame, n_words: int = WORDS, n_grams: int = GRAMS, most: int =
     langs = sorted(r["lang"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect())
     totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     top = counted.groupBy("word").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "word").limit(n_words)
-    kept = [tuple(r) for r in counted.join(F.broadcast(top.select("word")), "word").select("lang", "word", "n").collect()]
+    kept = _collected(counted.join(F.broadcast(top.select("word")), "word").select("lang", "word", "n"))
     spelled = count_grams(counted, most).persist()
     gram_totals = {(r["lang"], r["size"]): r["n"] for r in spelled.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
-    gram_rows = []
-    for size in range(1, most + 1):
+
+    def of_size(size: int):
         own = spelled.where(F.col("size") == size)
         best = own.groupBy("gram").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "gram").limit(n_grams)
-        gram_rows += [tuple(r) for r in own.join(F.broadcast(best.select("gram")), "gram").select("lang", "size", "gram", "n").collect()]
+        return _collected(own.join(F.broadcast(best.select("gram")), "gram").select("lang", "gram", "n"))
+
+    model = Model(langs, kept, of_size, totals, gram_totals, most)
     counted.unpersist()
     spelled.unpersist()
-    return Model(langs, kept, gram_rows, totals, gram_totals, most)
+    return model
+
+
+def _collected(df: DataFrame) -> Iterator[tuple]:
+    """Rows of a table of bounded size, batch by batch from Arrow: far smaller on the driver than Row objects."""
+    for batch in df.toArrow().to_batches(max_chunksize=20_000):
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
