@@ -113,6 +113,22 @@ def test_backoff_gets_shorter(spark):
     assert model.predict(["bcdqq"])[0] == "x" and model.predict(["vwxq"])[0] == "y"
 
 
+def test_language_counts_are_whole(spark):
+    """A model that holds few words and n-grams itself gives what one that holds all of them gives."""
+    rnd = random.Random(5)
+    word = lambda letters: "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 7)))
+    vocabulary = {"x": [word("abcde") for _ in range(80)], "y": [word("cdefg") for _ in range(80)]}
+    train = [(i, " ".join(rnd.choice(vocabulary[lang]) for _ in range(30)), lang) for i, lang in enumerate("xy" * 20)]
+    train = spark.createDataFrame([*train, (90, "zyzzyva", "y"), (91, "zebu", "x")], "doc_id long, text string, lang string")
+    asked = [(i, " ".join(rnd.choice([word("abcdefg"), rnd.choice(vocabulary["xy"[i % 2]])]) for _ in range(rnd.randint(1, 9)))) for i in range(60)]
+    asked += [(100, "zyzzyva"), (101, "zebu"), (102, None), (103, ""), (104, "中文"), (None, "zebu"), (101, "zebu"), (105, "zyzzyvas a")]
+    df = spark.createDataFrame(asked, "doc_id long, text string")
+    rows = lambda model: sorted(((r.doc_id or -1, r.held_out, r.lang_pred, round(r.score, 4)) for r in langid.identify(df, model).collect()), key=str)
+    whole = rows(langid.fit(train))
+    assert rows(langid.fit(train, 5, 5)) == whole and rows(langid.fit(train, 10_000, 5)) == whole
+    assert {(i, lang) for i, _, lang, _ in whole} >= {(100, "y"), (101, "x"), (102, "und"), (103, "und")}
+
+
 # op4
 
 
