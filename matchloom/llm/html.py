@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from matchloom.llm.common import arrow, column, cut, discard, pieces, read
 
-#: A subtree on so many different pages of a host, and on this share of the host's pages, is template.
-MIN_PAGES, MIN_SHARE = 5, 0.02
+#: A subtree on so many different pages of a host is template, however many pages the host has.
+MIN_PAGES = 5
 #: So many template hashes (8 bytes each) are broadcast; beyond it they are joined by page.
 BROADCAST = 2_000_000
 
@@ -260,9 +260,7 @@ def count_subtrees(pages: DataFrame) -> DataFrame:
 def _recurring(rows: DataFrame, pool: list[str]) -> DataFrame:
     # A hash names its host, so pages per hash and pages per host are the same count; copies of a page count once
     counted = cut(rows.distinct().groupBy("host", "h").agg(F.count("*").alias("n")), "html-counts", pool)
-    sizes = counted.where("h = 0").select("host", F.col("n").alias("pages"))
-    many = counted.where(f"h != 0 and n >= {MIN_PAGES}").join(sizes, "host")
-    return many.where(F.col("n") >= MIN_SHARE * F.col("pages")).select("h")
+    return counted.where(f"h != 0 and n >= {MIN_PAGES}").select("h")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

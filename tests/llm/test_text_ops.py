@@ -62,6 +62,14 @@ def test_templates(spark):
     assert html.extract_pages(df).count() == len(rows) and html.extract_pages(df.limit(0)).count() == 0
 
 
+def test_templates_on_a_large_host(spark):
+    """What recurs on 10 pages is template on a host of 501 pages as on one of 500."""
+    block = lambda i: "<div class=x1>Notice of a section</div>" if i < 10 else ""
+    rows = [(n * 1000 + i, f"http://h{n}.example/{i}", f"<body>{block(i)}<p>Own {n} {i}</p></body>") for n in (500, 501) for i in range(n)]
+    found = html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {n * 1000 + i: f"Own {n} {i}" for n in (500, 501) for i in range(n)}
+
+
 def test_templates_by_join(spark, monkeypatch):
     rows = [(i, "http://h.example/", f"<body><div><i>menu</i></div><p>Own {i}</p></body>") for i in range(20)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
