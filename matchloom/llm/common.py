@@ -58,6 +58,24 @@ def _discard_all() -> None:
         discard(list(_TABLES))
 
 
+#: A key with more than this part of all rows is dealt over several partitions.
+SPLIT = 256
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """big joined to small by key. small has a row or few per key, and n: about how many rows of big have it.
+
+    Rows of a key that holds over a SPLIT-th of them are dealt over several partitions, and its rows of small repeated. At
+    most SPLIT keys can be so common, which bounds the broadcast that says so."""
+    total = small.agg(F.sum(n)).first()[0] or 1
+    often = small.groupBy(key).agg(F.max(n).alias(n)).where(F.col(n) * SPLIT > total)
+    hot = F.broadcast(often.select(key, F.ceil(F.col(n) * SPLIT / F.lit(total)).cast("int").alias("__salts")))
+    salts = F.coalesce("__salts", F.lit(1))
+    left = big.join(hot, key, "left").withColumn("__salt", F.pmod(F.xxhash64(*big.columns), salts).cast("int")).drop("__salts")
+    right = small.join(hot, key, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
+    return left.hint("merge").join(right, [key, "__salt"]).drop("__salt")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -1,6 +1,7 @@
 """op2, op3, op4, op7 and the pipeline: brute force, held-out accuracy, and odd input."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -20,7 +21,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><
 
 
 def test_extract():
-    text = html.extract(html.walk(html.parse(PAGE)), set())
+    text = html.extract(html.read_page(PAGE, None), {})
     assert text == "Big News\n\nFirst <para> with bold and more.\n\nSecond! unclosed\n\nitem a\n\nitem b\n\nThird"
 
 
@@ -43,8 +44,22 @@ def test_extract():
     ],
 )
 def test_pages(page, expected):
-    found = html.extract(html.walk(html.parse(page)), set())
-    assert found == expected
+    assert html.extract(html.read_page(page, None), {}) == expected
+
+
+def test_fallback_leaves_the_article():
+    """A form, a telling class name or a teaser doesn't take what holds most of a page's text."""
+    long = "The article goes on and on. " * 20
+    assert html.extract(html.read_page(f"<form><p>{long}</p><input></form><p>end</p>", None), {}).endswith("end")
+    assert html.extract(html.read_page(f"<div class=promotion><p>{long}</p></div><div class=ad>x</div>", None), {}) == long.strip()
+    assert html.extract(html.read_page(f"<article><p>{long}</p></article><article><p>Read also</p></article>", None), {}) == long.strip()
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000, "</p></div>" * 50_000, "<p>" * 100_000, "<ul><li>" * 50_000, '<a title="x>' * 50_000, "<table><tr><td>" * 30_000])
+def test_long_pages_take_linear_time(page):
+    began = time.perf_counter()
+    assert html.extract(html.read_page(page + "x", "http://h.example/"), {}, fallback=False) in ("x", "")
+    assert time.perf_counter() - began < 5
 
 
 def test_templates(spark):
@@ -58,10 +73,43 @@ def test_templates(spark):
     found = {r.page_id: r.text for r in html.extract_pages(df).collect()}
     assert found[3] == "Own text 3" and found[100].startswith("Site wide promo box")
     assert found[205] == "the same page" and found[305] == "Own 5\n\nLicence line"
+    assert html.extract_pages(df, templates=False).where("page_id = 3").first().text.startswith("Site wide promo box")
     assert found[400] == found[401] == "" and found[402] == "deep"
     assert html.extract_pages(df).count() == len(rows) and html.extract_pages(df.limit(0)).count() == 0
 
 
+def prose(seed, n=12):
+    rnd = random.Random(seed)
+    return " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 9))) for _ in range(n))
+
+
+def test_templates_without_telling_names(spark):
+    """Pages without article, main, or class names that say anything: templates alone find the text."""
+    adverts = [prose(900 + k, 6) for k in range(4)]
+    menu = "<div class=a1><ul><li>Start</li><li>World</li></ul></div>"
+    rows, texts = [], {}
+    for i in range(60):
+        own = [prose(i * 10 + k) for k in range(3)]
+        texts[i] = "\n\n".join([*own[:2], "Is.", own[2]])
+        rows.append((i, f"http://h.example/{i}", f"<body>{menu}<div class=b2>{adverts[i % 4]}</div><div class=c3><p>{own[0]}</p><p>{own[1]}</p><div class=d4>Read this as well</div><p>Is.</p><p>{own[2]}</p></div><div class=e5>Imprint of h</div></body>"))
+    for i in range(60, 100):  # copies of one article in differing pages are no template
+        texts[i] = prose(7000, 30)
+        rows.append((i, f"http://h.example/{i}", f"<body>{menu}<div class=b2>{adverts[i % 4]}</div><div class=c3><p>{texts[i]}</p></div><div class=e5>Imprint of h</div></body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract_pages(df, fallback=False).collect()}
+    expected = {i: t for i, t in texts.items()}
+    assert {i: t.replace("Is.\n\n", "") for i, t in found.items()} == {i: t.replace("Is.\n\n", "") for i, t in expected.items()}
+    assert all("World" in r.text and "Imprint" in r.text for r in html.extract_pages(df, templates=False).collect())
+
+
+def test_no_article_is_lost_to_templates(spark, small):
+    """With article renamed, so that nothing protects it, no paragraph of any page goes."""
+    pages = read(spark, small, "pages")
+    whole = {r.page_id: r.text for r in html.extract_pages(pages).collect()}
+    renamed = html.extract_pages(pages.withColumn("html", F.regexp_replace("html", "(</?)article", "$1div")), fallback=False)
+    assert all(set(whole[r.page_id].split("\n\n")) <= set(r.text.split("\n\n")) for r in renamed.collect())
+
+
 def test_templates_on_a_large_host(spark):
     """What recurs on 10 pages is template on a host of 501 pages as on one of 500."""
     block = lambda i: "<div class=x1>Notice of a section</div>" if i < 10 else ""
