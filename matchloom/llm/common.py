@@ -93,9 +93,10 @@ def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     """mapInArrow with batches of bounded bytes, in workers that give their memory back after each task.
 
     Idle workers live on beside the JVM's next stages, so what they keep counts against the executor."""
-    conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64000000").rstrip("b")) > BATCH:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))
+    spark = df.sparkSession
+    size = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(str(size)) > BATCH:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH))  # read when the plan runs: it can't be put back here
 
     def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)

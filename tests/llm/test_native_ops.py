@@ -213,32 +213,60 @@ def test_passages_go_once(spark):
         assert rows[i].chars_removed == len(docs[i][1]) - len(rows[i].text) > 0
 
 
-def brute_dedup(docs):
-    """Chunks as the operator's own columns give them; the first of equal bodies by (doc_id, position) stays."""
-    seen, gone = {}, defaultdict(set)
-    for d, text, chunks in sorted(docs, key=lambda x: (x[0] is None, x[0] or 0)):
-        u = [x for x in chunks[1]]
-        for a, b in chunks[0]:
-            body = "\n".join(x.replace("\n", " ").strip(" ") for x in u[a:b])
-            if len(body.split()) >= (lines.MIN_WORDS if b - a > 1 else lines.LONG_LINE):
-                first = seen.setdefault(body, (d, text, a))
-                if first != (d, text, a):
-                    gone[d, text] |= set(range(a, b))
-    return {(d, t): "".join(x for k, x in enumerate(c[1]) if k not in gone[d, t]) for d, t, c in docs}
-
-
-def test_lines_against_brute_force(spark):
+def test_long_lines_and_unspaced_scripts(spark):
+    """A passage on one line without marks goes, between lines that differ; so does one without spaces."""
+    rnd = random.Random(8)
+    line = " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    signs = "".join(rnd.choice("的一是不了人我在有他这中大来上国") + ("，" if rnd.random() < 0.1 else "") for _ in range(120)) + "。"
+    docs = [(i, f"{passage(i + 50, 30)}\n{line}\n{passage(i + 90, 30)}") for i in range(6)] + [(20 + i, f"{passage(i + 150, 20)}\n{signs}\n{passage(i + 190, 20)}") for i in range(6)]
+    rows = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[0] == docs[0][1] and rows[20] == docs[6][1]
+    assert all(line not in rows[i] and rows[i].startswith(docs[i][1][:100]) for i in range(1, 6))
+    assert all(len(rows[20 + i]) < len(docs[6 + i][1]) - 40 for i in range(1, 6))
+
+
+def brute_chunks(text, order):
+    """Lines and chunks by hand; order ranks the bare lines as their hashes do."""
+    u = plain_lines(text)
+    v = [x.strip(" \n") for x in u]
+    stops = {i for i in range(2, len(v)) if order[v[i - 1]] < order[v[i - 2]] and order[v[i - 1]] < order[v[i]]} | {len(v)}
+    for i, x in enumerate(v, 1):
+        if len(x.encode()) >= lines.LONG_LINE:
+            stops |= {i - 1, i}
+    out, start = [], 0
+    for stop in sorted(stops - {0}):
+        size = sum(len(x.encode()) for x in v[start:stop])
+        if size >= (lines.LONG_LINE if stop - start == 1 else lines.CHUNK):
+            out.append((start, stop))
+        start = stop
+    return u, v, out
+
+
+def brute_dedup(docs, order, keys):
+    """The first of equal chunks by (doc_id, text's hash, position) stays, everything else of them goes."""
+    seen, gone, cut_up = {}, defaultdict(set), {}
+    for d, text in sorted({x for x in docs if x[1]}, key=lambda x: (x[0] is None, x[0] or 0, keys[x[1]])):
+        u, v, found = cut_up[d, text] = brute_chunks(text, order)
+        for a, b in found:
+            first = seen.setdefault("\n".join(v[a:b]), (d, text, a))
+            if first != (d, text, a):
+                gone[d, text] |= set(range(a, b))
+    return Counter((d, "".join(x for k, x in enumerate(cut_up[d, t][0]) if k not in gone[d, t]) if t else t) for d, t in docs)
+
+
+@pytest.mark.parametrize("way", ["broadcast", "shuffled"])
+def test_lines_against_brute_force(spark, way, monkeypatch):
+    if way == "shuffled":
+        monkeypatch.setattr(lines, "BROADCAST", 0)
     rnd = random.Random(6)
-    pool = [passage(k, rnd.randint(2, 30)) for k in range(40)]
+    pool = [passage(k, rnd.randint(2, 30)) for k in range(40)] + ["x " * 60, "，".join(["一二三四五六七"] * 3)]
     docs = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randint(0, 8)))) for i in range(60)]
-    docs += [(3, docs[3][1]), (4, "other text. " * 9), (None, docs[5][1]), (70, None), (71, ""), (72, "w " * 30_000), (73, "w " * 30_000)]
+    docs += [(3, docs[3][1]), (4, "other text. " * 9), (None, docs[5][1]), (70, None), (71, ""), (72, "w " * 30_000), (73, "w " * 30_000), (74, " \n . ")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    found = {(r.doc_id, r.key): [(c.start, c.stop) for c in r.chunks] for r in lines.chunks(df).collect()}
-    keyed = df.select("doc_id", "text", F.xxhash64("text").alias("key"), lines.lines(F.col("text")).alias("u")).collect()
-    given = {(r.doc_id, r.text): (found.get((r.doc_id, r.key), []), r.u or []) for r in keyed if r.text}
-    expected = brute_dedup([(d, t, c) for (d, t), c in given.items()])
+    every = sorted({x.strip(" \n") for _, t in docs if t for x in plain_lines(t)})
+    hashed = spark.createDataFrame([(x,) for x in every], "v string").select("v", F.xxhash64("v").alias("h")).collect()
+    keys = {r.text: r.key for r in df.select("text", F.xxhash64("text").alias("key")).collect()}
+    expected = brute_dedup(docs, {r.v: r.h for r in hashed}, keys)
     rows = lines.dedup_lines(df).collect()
-    assert len(rows) == len(docs)
-    left = Counter((r.doc_id, r.text) for r in rows)
-    assert left == Counter((d, expected.get((d, t), t)) for d, t in docs)
+    assert Counter((r.doc_id, r.text) for r in rows) == expected
     assert lines.dedup_lines(df.limit(0)).count() == 0
