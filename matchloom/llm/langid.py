@@ -1,12 +1,12 @@
 """Language identification by word-first backoff.
 
-A word (run of letters, lower case) seen in training scores by its log frequency in each language. An unseen word
+A word (run of letters in the sense of \\p{L}, lower case) seen in training scores by its log frequency in each language. An unseen word
 backs off to character n-grams, the longest length of which any n-gram is known, from MOST characters down to one: the
 mean log frequency of its known n-grams of that length. A text's language has the highest sum over its words;
 the score is that language's share after a softmax of the mean per word, times up to SHARPEN words.
 
 Counts cover every training text, and every count is used. What is broadcast doesn't grow with the corpus: the WORDS most
-frequent words. If these, and GRAMS n-grams of each length, are all there are, texts are scored in one pass. Else that pass adds
+frequent words, fewer if there are many languages. If these, and GRAMS n-grams of each length, are all there are, texts are scored in one pass. Else that pass adds
 up the frequent words and gives the other distinct words of each text, which meet all word counts, and if unseen all n-gram
 counts, in joins; each word is scored once for the corpus, and its scores are added to those of the texts that hold it.
 
@@ -31,13 +31,21 @@ from pyspark.sql import functions as F
 from matchloom.llm.common import arrow, column, cut, discard, held_out, pieces, read
 
 WORDS, GRAMS, MOST, SHARPEN = 100_000, 50_000, 5, 20
+#: Numbers of the table that is broadcast, at most: with many languages it holds fewer words.
+CELLS = 2_000_000
 #: Distinct words or n-grams that a task counts before it sends them on.
 FLUSH = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters (categories L*), lower case; other numerals that the pattern lets through part them."""
+    if not text:
+        return []
+    found = LETTERS.findall(text.lower())
+    if text.isascii():
+        return found
+    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -237,7 +245,7 @@ def fit(docs: DataFrame, n_words: int = WORDS, n_grams: int = GRAMS, most: int =
     all_grams = {size: r[0] for size, r in by_size.items()}
     gram_totals = {(x, size): n for size, r in by_size.items() for x, n in zip(langs, r[1:], strict=True)}
     rest = None
-    if all_words > n_words or any(n > n_grams for n in all_grams.values()):
+    if all_words > min(n_words, max(1, CELLS // max(1, len(langs)))) or any(n > n_grams for n in all_grams.values()):
         norm = lambda total, n: total + 0.5 * max(1, n)
         gram_norms = [[norm(gram_totals.get((x, size), 0), all_grams.get(size, 0)) for x in langs] for size in range(1, most + 1)]
         rest = Rest(words.drop("all"), spelled.drop("all"), [norm(totals[x], all_words) for x in langs], gram_norms)
@@ -245,7 +253,7 @@ def fit(docs: DataFrame, n_words: int = WORDS, n_grams: int = GRAMS, most: int =
     def each(keys: DataFrame) -> Iterator[tuple]:
         return ((x, key, n) for key, counts in _collected(keys) for x, n in zip(langs, counts, strict=True) if n)
 
-    top = words.orderBy(F.desc("all"), "word").limit(n_words).select("word", "counts")
+    top = words.orderBy(F.desc("all"), "word").limit(min(n_words, max(1, CELLS // max(1, len(langs))))).select("word", "counts")
     of_size = lambda size: each(spelled.where(F.col("size") == size).select("gram", "counts"))
     model = Model(langs, each(top), of_size, totals, gram_totals, all_words, all_grams, most, rest)
     if rest is None:
