@@ -4,10 +4,12 @@ Every whole text becomes a vector of transformed statistics (logarithms of sizes
 and a covariance shrunk towards the pooled one and towards its own diagonal; both determinants and the inverse
 square roots come from Cholesky factors that are computed once, cached in the model and sent with it. The score is the
 logistic of the difference of the log-densities (a Mahalanobis term each) plus the log of the classes' odds. Statistics
-of few words scatter more than the covariances of whole texts say, so the difference counts words / (words + EVIDENCE).
+of few words scatter more than the covariances of whole texts say, so the difference counts words / (words + evidence).
 
-Moments are sums over all labelled training rows, added up by Spark; the model's size depends on the number of
-statistics alone. Sums are rounded before they are used, so that the order of adding doesn't show in a score.
+The model is fitted on the labelled training rows, on SAMPLE labels of them at most, chosen by hash. evidence is chosen among
+EVIDENCE by cross-validation inside these rows: moments are sums per fold and class, so the model without a fold is a difference
+of sums, and the value with the smallest log loss wins. Spark adds up moments and losses; the model's size depends on the number
+of statistics alone. Sums are rounded before they are used, so that the order of adding doesn't show in a score.
 
 Defined cases: null and empty text have the statistics of a text without words, and a score; texts of any length are read
 whole; a doc_id with several labels counts each; null labels are ignored; with labels of one class alone every
@@ -30,8 +32,10 @@ from matchloom.llm.common import arrow, cut, discard, held_out, pieces, read, ut
 
 POOLED, DIAGONAL, FLOOR = 0.05, 0.05, 1e-3
 THRESHOLD = 0.3
-#: Words at which a text's statistics count half.
-EVIDENCE = 40
+#: Words at which a text's statistics count half: what is tried, in folds of the training rows.
+EVIDENCE, FOLDS = (0, 10, 20, 40, 80, 160, 320, 640, 1280), 4
+#: Labels that the model is fitted on, at most; they are broadcast to the documents.
+SAMPLE = 200_000
 NAMES = (
     "chars", "words", "word_length", "upper", "digits", "marks", "odd_marks", "spaces", "distinct", "top_word",
     "pairs_again", "lines_again", "packed", "ends_marked", "upper_words", "one_kind", "entropy", "line_length",
@@ -92,23 +96,15 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id, x: the statistics of every row, written to the shared folder."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(iter([batch]), "text"):
-                rows = [statistics(t) for t in utf8(part, "text")]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(arrow, run, "doc_id long, x array<double>")
+Moments = dict[int, tuple[float, np.ndarray, np.ndarray]]  # by class: n, sum, sum of products
 
 
 class Discriminant:
-    """Two Gaussian classes with shrunk covariances; from (n, sum, sum of products) of class 0 and 1."""
+    """Two Gaussian classes with shrunk covariances."""
 
-    def __init__(self, moments: dict[int, tuple[float, np.ndarray, np.ndarray]]):
-        self.only = None if len(moments) == 2 else next(iter(moments), 0.5)
+    def __init__(self, moments: Moments, evidence: float = 0):
+        self.evidence = evidence
+        self.only = None if len(moments) == 2 else float(next(iter(moments), 0.5))
         if self.only is not None:
             return
         total = sum(m[0] for m in moments.values())
@@ -124,74 +120,145 @@ class Discriminant:
             chol = np.linalg.cholesky(cov)
             self.parts.append((s / n / self.scale, np.linalg.inv(chol), float(np.log(np.diag(chol)).sum()), float(np.log(n / total))))
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        if self.only is not None:
-            return np.full(len(x), float(self.only))
+    def odds(self, x: np.ndarray) -> tuple[float, np.ndarray]:
+        """Log odds of the classes, and the difference of the log-densities of each row."""
         logs = []
         for mean, inverse, log_det, prior in self.parts:
             z = (x / self.scale - mean) @ inverse.T
             logs.append((prior, -log_det - 0.5 * (z * z).sum(1)))
-        words = np.expm1(x[:, NAMES.index("words")])
-        odds = logs[1][0] - logs[0][0] + (logs[1][1] - logs[0][1]) * words / (words + EVIDENCE)
-        return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+        return logs[1][0] - logs[0][0], logs[1][1] - logs[0][1]
 
+    def score(self, x: np.ndarray) -> np.ndarray:
+        if self.only is not None:
+            return np.full(len(x), self.only)
+        prior, apart = self.odds(x)
+        return _logistic(prior + apart * _weight(x, self.evidence))
 
-def fit(measured: DataFrame, labels: DataFrame) -> Discriminant:
-    """From all rows of measured that have a label (doc_id, quality 0 or 1)."""
-    d = len(NAMES)
+
+def _logistic(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+
+
+def _weight(x: np.ndarray, evidence: float) -> np.ndarray:
+    words = np.expm1(x[:, NAMES.index("words")])
+    return np.where(words > 0, words / np.maximum(words + evidence, 1e-9), 0.0 if evidence else 1.0)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, text, quality of the labelled rows that aren't held out; of more than sample labels those of the smallest hashes."""
     marked = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    rows = measured.join(marked, "doc_id")
+    marked = marked.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id", "quality"), "doc_id", "quality").limit(sample)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.join(F.broadcast(marked), "doc_id")  # at most sample rows of two numbers
+
+
+def _folds(rows: DataFrame) -> DataFrame:
+    """rows plus fold; all rows of a doc_id share it. (crc32 modulo 5 tells held-out rows, so the fold is taken from what is left.)"""
+    return rows.withColumn("fold", F.expr(f"cast((crc32(cast(cast(doc_id as string) as binary)) div 5) % {FOLDS} as int)"))
+
+
+def moments_of(measured: DataFrame) -> dict[int, Moments]:
+    """Moments by fold, of measured rows (x, quality, fold)."""
+    d = len(NAMES)
     sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(d)]
     sums += [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
-    moments = {}
-    for r in rows.groupBy("quality").agg(F.count("*").alias("n"), *sums).collect():
+    found: dict[int, Moments] = {k: {} for k in range(FOLDS)}
+    for r in measured.groupBy("fold", "quality").agg(F.count("*").alias("n"), *sums).collect():
         products = np.zeros((d, d))
         for i in range(d):
             for j in range(i, d):
                 products[i, j] = products[j, i] = float(f"{r[f'p{i}_{j}']:.10g}")
-        moments[r["quality"]] = (float(r["n"]), np.array([float(f"{r[f's{i}']:.10g}") for i in range(d)]), products)
-    return Discriminant(moments)
+        found[r["fold"]][r["quality"]] = (float(r["n"]), np.array([float(f"{r[f's{i}']:.10g}") for i in range(d)]), products)
+    return found
+
 
+def added(parts: list[Moments]) -> Moments:
+    """The moments of several folds together; classes without rows are left out."""
+    out: Moments = {}
+    for part in parts:
+        for c, m in part.items():
+            out[c] = tuple(a + b for a, b in zip(out[c], m, strict=True)) if c in out else m
+    return out
 
-def classify(measured: DataFrame, model: Discriminant) -> DataFrame:
-    """measured plus score and predicted."""
-    sent = measured.sparkSession.sparkContext.broadcast(model)
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Discriminant:
+    """From the labels (doc_id, quality 0 or 1) of rows that aren't held out."""
+    pool: list[str] = []
+    rows = _folds(training_rows(docs, labels, sample)).select("text", "quality", "fold")
+    measured = cut(measure(rows, {"quality": "int", "fold": "int"}), "quality-statistics", pool)
+    parts = moments_of(measured)
+    every = added(list(parts.values()))
+    others = {k: Discriminant(added([m for j, m in parts.items() if j != k])) for k in parts}
+    chosen = EVIDENCE[0]
+    if all(m.only is None for m in others.values()):
+        losses = measured.transform(arrow, _losses(others), "evidence int, loss double").groupBy("evidence").agg(F.sum("loss").alias("loss")).collect()
+        chosen = min((float(f"{r['loss']:.9g}"), r["evidence"]) for r in losses)[1]
+    discard(pool)
+    return Discriminant(every, chosen)
+
+
+def _losses(models: dict[int, Discriminant]):
+    """Log loss per value of EVIDENCE, each row scored by the model without its fold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(EVIDENCE))
         for batch in batches:
             if batch.num_rows:
-                x = batch.column(batch.schema.get_field_index("x")).flatten().to_numpy().reshape(batch.num_rows, -1)
-                score = np.round(sent.value.score(x), 9)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
+                x = _matrix(batch)
+                label, fold = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("quality", "fold"))
+                for k, model in models.items():
+                    own = x[fold == k]
+                    if len(own):
+                        prior, apart = model.odds(own)
+                        sign = np.where(label[fold == k] == 1, 1, -1)
+                        total += [np.logaddexp(0, -sign * (prior + apart * _weight(own, e))).sum() for e in EVIDENCE]
+        yield pa.RecordBatch.from_arrays([pa.array(EVIDENCE, pa.int32()), pa.array(total)], names=["evidence", "loss"])
+
+    return run
+
+
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index("x")).flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+def measure(docs: DataFrame, others: dict[str, str]) -> DataFrame:
+    """x, the statistics of every row's text, and the columns others (with their types) as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(iter([batch]), "text"):
+                rows = [statistics(t) for t in utf8(part, "text")]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), *(part.column(part.schema.get_field_index(n)) for n in others)], names=["x", *others])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in measured.schema.fields)
-    return measured.transform(arrow, run, f"{fields}, score double, predicted int")
+    return docs.select("text", *others).transform(arrow, run, ", ".join(["x array<double>", *(f"{n} {t}" for n, t in others.items())]))
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame, pool: list[str] | None = None) -> tuple[DataFrame, Discriminant]:
-    """The statistics of docs (written once) and the model that its training rows give."""
-    measured = cut(measure(docs), "quality-statistics", pool)
-    train = measured.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return measured, fit(train, labels)
+def _scores(model: Discriminant, part: pa.RecordBatch) -> np.ndarray:
+    return np.round(model.score(np.array([statistics(t) for t in utf8(part, "text")])), 9)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    measured, model = fit_documents(docs, labels)
-    return classify(measured, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    """doc_id, held_out, score, predicted of every row; texts are judged in place, by the model fitted on docs and labels."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(iter([batch]), "text"):
+                score = _scores(sent.value, part)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+
+    table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
+    return table.transform(arrow, run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that the model fitted on them doesn't reject; texts are judged in place."""
-    pool: list[str] = []
-    _, model = fit_documents(docs, labels, pool)
-    discard(pool)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    """The rows of docs, all columns, that the model fitted on them doesn't reject, null and empty texts by their score as others."""
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(iter([batch]), "text"):
-                x = np.array([statistics(t) for t in utf8(part, "text")])
-                yield part.filter(pa.array(np.round(sent.value.score(x), 9) >= THRESHOLD))
+                yield part.filter(pa.array(_scores(sent.value, part) >= THRESHOLD))
 
     return docs.transform(arrow, run, docs.schema)
 
