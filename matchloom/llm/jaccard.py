@@ -274,10 +274,10 @@ def groups(tokens: DataFrame, pool: list[str] | None = None) -> DataFrame:
                 if token is None or t[lo] != token:
                     yield from close()
                     token, lead = int(t[lo]), (int(i[lo]), int(n[lo]))
-                last = own[-1][0] if own else None
-                for x, m in zip(i[lo:hi].tolist(), n[lo:hi].tolist(), strict=True):
-                    if x != last:  # not another row of one document
-                        own.append((x, m))
+                last = own[-1] if own else None
+                for x in zip(i[lo:hi].tolist(), n[lo:hi].tolist(), strict=True):
+                    if x != last:  # equal rows once; texts of other sizes under one id are members of their own
+                        own.append(x)
                     last = x
                 if len(own) > 20_000:
                     yield rows(token, own, 1)
@@ -288,7 +288,7 @@ def groups(tokens: DataFrame, pool: list[str] | None = None) -> DataFrame:
         yield from close()
         yield from flush()
 
-    ordered = tokens.repartition("token").sortWithinPartitions("token", "id")
+    ordered = tokens.repartition("token").sortWithinPartitions("token", "id", "n")
     return cut(ordered.transform(arrow, run, "kind int, gid long, a long, b long, na int, n int, weight long"), "jaccard-groups", pool)
 
 
@@ -354,7 +354,7 @@ def rest(docs: DataFrame, members: DataFrame, comps: DataFrame, pool: list[str]
     a = small.select("gid", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), "weight")
     b = small.select("gid", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     fits = f"a < b and ca != cb and 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
-    counted = a.join(b, "gid").where(fits).groupBy("a", "b").agg(F.sum("weight").alias("c"), F.max("na").alias("na"), F.max("nb").alias("nb"))
+    counted = a.join(b, "gid").where(fits).groupBy("a", "b", "na", "nb").agg(F.sum("weight").alias("c"))  # by sizes, as an id can have several texts
     # Tokens of large groups aren't counted by pair; a pair shares as many as its member with fewer has, at most
     more = cut(large.groupBy("id").agg(F.sum("weight").alias("more")), "jaccard-more", pool)
     counted = counted.join(more.select(F.col("id").alias("a"), F.col("more").alias("ma")), "a", "left").join(more.select(F.col("id").alias("b"), F.col("more").alias("mb")), "b", "left")
@@ -466,9 +466,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     comps = cut(components(edges, pool), "jaccard-components", pool)
     more = cut(verify(docs, rest(docs, grouped.where("kind = 1"), comps, pool), pool), "jaccard-links", pool)
     comps = cut(components(edges.unionByName(more), pool), "jaccard-components")
-    discard(pool)
     final = named.join(comps, "id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
+    discard(pool)
     return final.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
