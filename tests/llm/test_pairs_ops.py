@@ -184,6 +184,21 @@ def test_odd_documents(spark):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_id_with_a_text_and_its_extension(spark):
+    rnd = random.Random(9)
+    docs = []
+    for k in range(12):
+        w = [f"k{k}w{rnd.randint(0, 5000)}" for _ in range(204)]
+        near = list(w[:104])
+        near[50] = "other"
+        own, other = (100 + k, 200 + k) if k % 2 else (200 + k, 100 + k)
+        docs += [(own, " ".join(w)), (own, " ".join(w[:104])), (other, " ".join(near))]
+        if k % 3 == 0:
+            docs.append((300 + k, " ".join(w[:200] + ["end"])))
+    found = jaccard.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(3))
+    assert sorted(map(tuple, found.collect()), key=str) == brute_components(docs)
+
+
 def test_required_prefix_overlap():
     rnd = random.Random(5)
     for _ in range(3000):
