@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchloom.functions import similarity as s
 from matchloom.functions.tables import FEATURES
 from matchloom.functions.text import filled
-from matchloom.operators.checks import require
+from matchloom.operators.checks import require, require_unique
 
 FIELDS = ("name_core", "address_clean", "name_tokens", "address_tokens", "address_numbers", "country_norm", "entity_source")
 FLAGS = ("name_is_empty", "address_is_empty")
@@ -54,7 +54,9 @@ def feature_columns(a: Column, b: Column) -> list[Column]:
 def pair_features(source1: DataFrame, candidates: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (source1_entity_id, candidate_entity_id, maybe more) plus features; pairs with an unknown id are dropped.
 
-    Ids must be unique in either table (checks.require_unique), else pairs fan out."""
+    Ids must be unique in either table, else pairs would fan out: repeated ones are an error."""
+    require_unique(source1, "entity_id", "source1")
+    require_unique(candidates, "entity_id", "candidates")
     a = record(source1).select(F.col("entity_id").alias("source1_entity_id"), F.col("r").alias("a"))
     b = record(candidates).select(F.col("entity_id").alias("candidate_entity_id"), F.col("r").alias("b"))
     met = pairs.join(a, "source1_entity_id").join(b, "candidate_entity_id")

@@ -15,9 +15,11 @@ DOMAIN_HINT = r"(?i)\.(?:com|in|net|org)(?![\p{L}\p{N}_])"
 UNIQUE_CAP, EXAMPLES = 200_000, 5
 
 
-def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+def profile_columns(df: DataFrame, columns: list[str] | None = None, exact: bool = False) -> DataFrame:
     """A row per column: name, n_missing, n_empty_string, n_nonascii, length_min, length_max, length_sum, length_count,
-    length_mean, unique_values, approx_unique_is_capped. Missing values count as empty, too."""
+    length_mean, unique_values, approx_unique_is_capped. Missing values count as empty, too.
+
+    exact counts distinct values exactly, which shuffles every value of every column; else they are estimated."""
     columns = columns or df.columns
     aggs = []
     for i, c in enumerate(columns):
@@ -82,6 +84,11 @@ def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n"))
 
 
+def head_of(scored: DataFrame, n: int = 20, column: str = "calibrated_score") -> DataFrame:
+    """The n pairs of the highest scores, ties by ids."""
+    return scored.orderBy(F.desc(column), "source1_entity_id", "candidate_entity_id").limit(n)
+
+
 def score_summary(df: DataFrame, column: str = "calibrated_score") -> DataFrame:
     """count, mean, std, min, quartiles (interpolated), max."""
     quarter = [F.percentile(column, F.lit(q)).alias(n) for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))]

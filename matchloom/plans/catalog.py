@@ -11,18 +11,19 @@ from matchloom.functions.tables import ABBREVIATIONS, FEATURES, RAW, SUFFIXES
 from matchloom.operators import blocking, features, model, pairs, profile, tfidf
 from matchloom.operators.normalize import normalize
 from matchloom.plans import entities as e
+from matchloom.sources import readers, writers
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, entities: str = e.SQL):
     """Registers a function under its name, with its SQL behind the entity expressions."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = f"WITH RECURSIVE {e.SQL.strip()} {sql.strip()}"
+            SQL[f.__name__] = f"WITH RECURSIVE {entities.strip()} {sql.strip()}"
         return f
 
     return add
@@ -114,7 +115,7 @@ def _profile_sql(c: str) -> str:
 
 @query(" UNION ALL ".join(_profile_sql(c) for c in RAW))
 def profile_columns(spark, sf_dir):
-    return profile.profile_columns(e.entities(spark, sf_dir), list(RAW)).withColumn("length_mean", F.round("length_mean", 6))
+    return profile.profile_columns(e.entities(spark, sf_dir), list(RAW), exact=True).withColumn("length_mean", F.round("length_mean", 6))
 
 
 @query("SELECT name, place, value FROM (SELECT 'business_name' AS name, row_number() OVER (ORDER BY doc_id)::INTEGER AS place, business_name AS value FROM e WHERE business_name <> '') WHERE place <= 5")
@@ -287,14 +288,17 @@ def _grams_sql(name: str) -> str:
     return f"list_concat(list_concat({', '.join(f'list_transform(range(1, length({name}) - {n - 2}), lambda i: substr({name}, i, {n}))' for n in (2, 3))}), list_transform(range(1, length({name}) - 2), lambda i: substr({name}, i, 4)))"
 
 
-@query(
-    _BOTH
-    + f""", p AS (SELECT DISTINCT source1_entity_id AS i, candidate_entity_id AS j, n1, n2 FROM c),
+_COSINE_SQL = f"""p AS (SELECT DISTINCT source1_entity_id AS i, candidate_entity_id AS j, n1, n2 FROM c),
 g1 AS (SELECT i, j, g, count(*) AS tf FROM (SELECT i, j, unnest({_grams_sql("n1")}) AS g FROM p) GROUP BY ALL),
 g2 AS (SELECT i, j, g, count(*) AS tf FROM (SELECT i, j, unnest({_grams_sql("n2")}) AS g FROM p) GROUP BY ALL),
 w AS (SELECT coalesce(g1.i, g2.i) AS i, coalesce(g1.j, g2.j) AS j, coalesce(g1.tf, 0) AS u, coalesce(g2.tf, 0) AS v, CASE WHEN g1.tf IS NULL OR g2.tf IS NULL THEN ln(1.5) + 1 ELSE 1 END AS k
   FROM g1 FULL JOIN g2 ON g1.i = g2.i AND g1.j = g2.j AND g1.g = g2.g),
-o AS (SELECT i, j, sum(u * v * k * k) / nullif(sqrt(sum(u * u * k * k)) * sqrt(sum(v * v * k * k)), 0) AS x FROM w GROUP BY ALL)
+o AS (SELECT i, j, sum(u * v * k * k) / nullif(sqrt(sum(u * u * k * k)) * sqrt(sum(v * v * k * k)), 0) AS x FROM w GROUP BY ALL)"""
+
+
+@query(
+    _BOTH
+    + f""", {_COSINE_SQL}
 SELECT p.i AS source1_entity_id, p.j AS candidate_entity_id, round(coalesce(x, 0), 6) AS name_char_ngram_cosine FROM p LEFT JOIN o USING (i, j)"""
 )
 def feat_ngram_cosine(spark, sf_dir):
@@ -306,12 +310,40 @@ def feat_numbers(spark, sf_dir):
     return _features(spark, sf_dir, "address_number_tolerant_match")
 
 
-@query(_BOTH + r"SELECT source1_entity_id, candidate_entity_id, round(CASE WHEN n1 = '' OR n2 = '' THEN 0 ELSE jaro_winkler_similarity(n1, n2) END, 6) AS name_jaro_winkler FROM c WHERE NOT regexp_matches(n1 || n2, '[^\x00-\x7F]')")
+#: DuckDB compares bytes: letters beyond ASCII become single bytes that lower-cased names don't have.
+_BEYOND = "äçèéêíñóöüßáàâëîïôúùûœæøåãõ"
+_BYTES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ~"
+
+
+def _plain_bytes(name: str) -> str:
+    return f"translate({name}, '{_BEYOND}', '{_BYTES}')"
+
+
+def _jaro_winkler_sql(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE round(jaro_winkler_similarity({_plain_bytes(a)}, {_plain_bytes(b)}), 6) END::DOUBLE"
+
+
+@query(_BOTH + f"SELECT source1_entity_id, candidate_entity_id, {_jaro_winkler_sql('n1', 'n2')} AS name_jaro_winkler FROM c")
 def feat_jaro_winkler(spark, sf_dir):
-    one, rest, found = _candidate_pairs(spark, sf_dir)
-    ascii_only = lambda df: df.where(~F.col("name_core").rlike(t.NON_ASCII))
-    out = features.pair_features(ascii_only(one), ascii_only(rest), found)
-    return out.select("source1_entity_id", "candidate_entity_id", F.round("name_jaro_winkler", 6).alias("name_jaro_winkler"))
+    return _features(spark, sf_dir, "name_jaro_winkler")
+
+
+def _lcs_sql(pairs: str, a: str, b: str, name: str) -> str:
+    """Common table expressions: pairs plus column name, the length of the longest common subsequence of columns a and b, by rows
+    of the usual table; row i holds the lengths for the first i characters of a and all prefixes of b."""
+    step = f"list_reduce(range(1, length({b}) + 1), lambda n, j: list_append(n, CASE WHEN substr({b}, j, 1) = substr({a}, i + 1, 1) THEN prev[j] + 1 ELSE greatest(prev[j + 1], n[-1]) END), [0])"
+    return f"""{name}_r AS (SELECT {a}, {b}, 0 AS i, list_transform(range(length({b}) + 1), lambda x: 0) AS prev FROM (SELECT DISTINCT {a}, {b} FROM {pairs})
+  UNION ALL SELECT {a}, {b}, i + 1, {step} FROM {name}_r WHERE i < length({a})),
+{name} AS (SELECT {a}, {b}, prev[-1] AS {name} FROM {name}_r WHERE i = length({a}))"""
+
+
+def _indel_sql(a: str, b: str, common: str) -> str:
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE round(2 * {common} / (length({a}) + length({b})), 6) END::DOUBLE"
+
+
+@query(_BOTH + f", {_lcs_sql('c', 'n1', 'n2', 'lcs')} SELECT source1_entity_id, candidate_entity_id, {_indel_sql('n1', 'n2', 'lcs')} AS name_levenshtein FROM c JOIN lcs USING (n1, n2)")
+def feat_name_indel(spark, sf_dir):
+    return _features(spark, sf_dir, "name_levenshtein")
 
 
 @query()
@@ -329,6 +361,83 @@ def pair_features(spark, sf_dir):
     return _features(spark, sf_dir, *FEATURES)
 
 
+_PREFIX_SQL = "CASE WHEN n1 = '' OR n2 = '' THEN 0 ELSE round(len(list_filter(range(1, least(length(n1), length(n2)) + 1), lambda i: left(n1, i) = left(n2, i))) / greatest(length(n1), length(n2)), 6) END::DOUBLE"
+_NUMBERS_SQL = "CASE WHEN len(list_filter(d1, lambda x: len(list_filter(d2, lambda y: abs(try_cast(x AS HUGEINT) - try_cast(y AS HUGEINT)) <= 2)) > 0)) > 0 THEN 1 ELSE 0 END::DOUBLE"
+
+
+def _supplier_features(spark, sf_dir) -> DataFrame:
+    every = normalize(e.suppliers(spark, sf_dir), "S0")
+    one, rest = every.where("entity_source = 'S1'"), every.where("entity_source != 'S1'")
+    found = blocking.generate_candidates(one, rest, index_column="doc_id").select("source1_entity_id", F.col("source2_entity_id").alias("candidate_entity_id"))
+    out = features.pair_features(one, rest, found)
+    return out.select("source1_entity_id", "candidate_entity_id", *[F.round(c, 6).alias(c) if dict(out.dtypes)[c] == "double" else F.col(c) for c in FEATURES])
+
+
+@query(
+    _BOTH.replace(" AS src", " AS src, x.address_clean AS b1, y.address_clean AS b2")
+    + f""", {_lcs_sql("c", "n1", "n2", "lcs")}, {_lcs_sql("c", "b1", "b2", "lcsb")}, {_COSINE_SQL}
+SELECT source1_entity_id, candidate_entity_id, {_jaro_winkler_sql("n1", "n2")} AS name_jaro_winkler, {_indel_sql("n1", "n2", "lcs")} AS name_levenshtein, {_jaccard_sql("t1", "t2")} AS name_token_jaccard,
+  CASE WHEN n1 <> '' AND n2 <> '' AND (contains(n1, n2) OR contains(n2, n1)) THEN 1 ELSE 0 END::DOUBLE AS name_containment, {_PREFIX_SQL} AS name_prefix_similarity, round(coalesce(o.x, 0), 6) AS name_char_ngram_cosine,
+  CASE WHEN {_phonetic_sql("n1")} <> '' AND {_phonetic_sql("n1")} = {_phonetic_sql("n2")} THEN 1 ELSE 0 END::DOUBLE AS name_phonetic_match, {_jaccard_sql("a1", "a2")} AS address_token_jaccard, {_NUMBERS_SQL} AS address_number_tolerant_match,
+  {_indel_sql("b1", "b2", "lcsb")} AS address_string_similarity, (lower(c1) = lower(c2) AND c1 <> '')::INTEGER AS country_match, e1::INTEGER AS name1_empty, e2::INTEGER AS name2_empty, f1::INTEGER AS address1_empty, f2::INTEGER AS address2_empty,
+  (src = 'S2')::INTEGER AS is_source2_pair, (src = 'S3')::INTEGER AS is_source3_pair
+FROM c JOIN lcs USING (n1, n2) JOIN lcsb USING (b1, b2) LEFT JOIN o ON o.i = source1_entity_id AND o.j = candidate_entity_id""",
+    e.SUPPLIER_SQL,
+)
+def supplier_pair_features(spark, sf_dir):
+    """All seventeen features of whole supplier records, short enough for the edit distances to be said in SQL."""
+    return _supplier_features(spark, sf_dir)
+
+
+@query(
+    f""", x AS (SELECT 'S1-' || s_suppkey AS source1_entity_id, 'S2-' || (s_suppkey * 7 % 50) AS candidate_entity_id, (s_suppkey * 37 % 10) / 10.0 AS calibrated_score FROM supplier)
+SELECT source1_entity_id, candidate_entity_id, calibrated_score::DOUBLE AS calibrated_score FROM x ORDER BY x.calibrated_score DESC, source1_entity_id, candidate_entity_id LIMIT 20"""
+)
+def predictions_head(spark, sf_dir):
+    rows = e.table(spark, sf_dir, "supplier").select(F.concat(F.lit("S1-"), "s_suppkey").alias("source1_entity_id"), F.concat(F.lit("S2-"), F.col("s_suppkey") * 7 % 50).alias("candidate_entity_id"), (F.col("s_suppkey") * 37 % 10 / 10.0).alias("calibrated_score"))
+    return profile.head_of(rows)
+
+
+# Sources and sinks: written, read again, and compared with the table
+
+
+@query("SELECT entity_id, coalesce(business_name, '') AS business_name, coalesce(business_address, '') AS business_address, coalesce(country, '') AS country FROM e")
+def tsv_round_trip(spark, sf_dir):
+    path = e.scratch(spark, "tsv")
+    e.entities(spark, sf_dir).select(*RAW).write.csv(path, sep="\t", header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return readers.read_raw(spark, path)
+
+
+@query("SELECT p_partkey::VARCHAR AS source1_entity_id, CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN p_name WHEN 2 THEN NULL ELSE 'NAN' END AS matched_entity_ids FROM part")
+def tsv_missing_values(spark, sf_dir):
+    """Empty cells and the usual marks are missing values here; what merely looks like one isn't."""
+    path = e.scratch(spark, "tsv")
+    kind = F.col("p_partkey") % 4
+    cell = F.when(kind == 0, "NA").when(kind == 1, F.col("p_name")).when(kind == 2, "").otherwise("NAN")
+    e.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("source1_entity_id"), cell.alias("matched_entity_ids")).write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="")
+    return readers.read_truth(spark, path)
+
+
+@query("SELECT s_name AS source1_entity_id, 'S2-' || s_nationkey AS candidate_entity_id FROM supplier UNION SELECT s_name, 'S3-' || s_suppkey FROM supplier")
+def candidate_files(spark, sf_dir):
+    """Candidate lists written as Parquet and as TSV, the readers chosen by the paths' endings."""
+    lists = e.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("source1_entity_id"), F.concat(F.lit("S2-"), "s_nationkey", F.lit(", ,S3-"), "s_suppkey").alias("candidate_entity_ids"))
+    one, two = e.scratch(spark, "lists.PARQUET"), e.scratch(spark, "lists.tsv")
+    if writers.write_parquet(lists, one) != lists.count():
+        raise AssertionError("rows are counted by the write")
+    lists.write.csv(two, sep="\t", header=True)
+    return readers.read_candidates(spark, one).unionByName(readers.read_candidates(spark, two)).distinct()
+
+
+@query("SELECT source1_entity_id, candidate_entity_id, 1 AS label FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS candidate_entity_id FROM truth) WHERE candidate_entity_id LIKE 'S2-%' OR candidate_entity_id LIKE 'S3-%'")
+def combined_positives(spark, sf_dir):
+    """The last list of a repeated source-1 id counts."""
+    one, two, three, gt = _training_inputs(spark, sf_dir)
+    stale = gt.select("source1_entity_id", F.lit("S2-0").alias("matched_entity_ids"))
+    at = stale.withColumn("at", F.lit(0)).unionByName(gt.withColumn("at", F.lit(1)))
+    return pairs.combined_training_pairs(one, two, three, pairs.last_truth(at, "at")).where("label = 1")
+
+
 @query(
     f""", b AS (SELECT item_id AS id, regexp_replace(regexp_replace(lower(text), '^\\s+|\\s+$', '', 'g'), '\\s\\s+', ' ', 'g') AS x FROM benchmark),
 g AS (SELECT id, g, count(*) AS tf FROM (SELECT id, unnest({_grams_sql("x")}) AS g FROM b) GROUP BY ALL),

@@ -64,6 +64,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         scored = model.predict(readers.read_parquet(spark, a.source1), readers.read_parquet(spark, a.candidate_source), readers.read_candidates(spark, a.candidates), package)
         writers.write_scores(scored, a.output)
         profile.score_summary(scored).show()
+        profile.head_of(scored).show(20, False)
     return 0
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and the raw columns: names are the first 40 characters, addresses a number and the next 100."""
+    """doc_id and the raw columns: names are the first 40 characters of a text, addresses a number and all the rest of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
     k = F.when(F.col("source") == "src0", "1").when(F.col("source").isin(*[f"src{i}" for i in range(1, 10)]), "2").otherwise("3")
     ending = F.lit("")
@@ -26,11 +29,37 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.concat(F.lit("S"), k, F.lit("-"), F.col("doc_id")).alias("entity_id"),
         F.concat(F.left("text", F.lit(40)), ending).alias("business_name"),
-        F.concat((F.col("doc_id") % 50).cast("string"), F.lit(" "), F.substring("text", 41, 100)).alias("business_address"),
+        F.concat((F.col("doc_id") % 50).cast("string"), F.lit(" "), F.expr("substring(text, 41)")).alias("business_address"),
         F.col("lang").alias("country"),
     )
 
 
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the raw columns, of whole columns of the suppliers."""
+    key = F.col("s_suppkey")
+    ending = F.lit("")
+    for i, x in enumerate(ENDINGS):
+        ending = F.when(key % 8 == i, x).otherwise(ending)
+    address = F.concat(key * 7 % 90, F.lit(" St no "), "s_nationkey", F.lit(", "), F.reverse("s_name"))
+    return table(spark, sf_dir, "supplier").select(
+        key.alias("doc_id"),
+        F.concat(F.lit("S"), key % 3 + 1, F.lit("-"), key).alias("entity_id"),
+        F.concat("s_name", ending).alias("business_name"),
+        F.when(key % 11 == 0, "").otherwise(address).alias("business_address"),
+        F.concat(F.lit("nation "), F.col("s_nationkey") % 5).alias("country"),
+    )
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; a temporary one only where none is set (local sessions)."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = f"file://{tempfile.gettempdir()}/scratch"
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}-{name}"
+
+
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Normalized entities of the first source, and of the second and third."""
     every = normalize(entities(spark, sf_dir), "S0")
@@ -56,7 +85,7 @@ _ENDING = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN '{e}'" for i, e in enume
 SQL = rf"""
 e AS (
   SELECT doc_id, 'S' || CASE WHEN source = 'src0' THEN '1' WHEN source IN ({", ".join(f"'src{i}'" for i in range(1, 10))}) THEN '2' ELSE '3' END || '-' || doc_id AS entity_id,
-    left(coalesce(text, ''), 40) || {_ENDING} AS business_name, (doc_id % 50) || ' ' || substr(coalesce(text, ''), 41, 100) AS business_address, lang AS country
+    left(coalesce(text, ''), 40) || {_ENDING} AS business_name, (doc_id % 50) || ' ' || substr(coalesce(text, ''), 41) AS business_address, lang AS country
   FROM documents
 ),
 n1 AS (
@@ -78,3 +107,13 @@ h2 AS (SELECT * FROM h WHERE entity_id NOT LIKE 'S1-%'),
 m AS (SELECT name_core, string_agg(entity_id, ',' ORDER BY entity_id) AS ids FROM h2 GROUP BY name_core),
 truth AS (SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM h1 LEFT JOIN m USING (name_core))
 """
+
+_SUPPLIER_ENDING = _ENDING.replace("doc_id", "s_suppkey")
+#: The same with suppliers for entities.
+SUPPLIER_SQL = f"""
+e AS (
+  SELECT s_suppkey AS doc_id, 'S' || (s_suppkey % 3 + 1) || '-' || s_suppkey AS entity_id, s_name || {_SUPPLIER_ENDING} AS business_name,
+    CASE WHEN s_suppkey % 11 = 0 THEN '' ELSE (s_suppkey * 7 % 90) || ' St no ' || s_nationkey || ', ' || reverse(s_name) END AS business_address, 'nation ' || (s_nationkey % 5) AS country
+  FROM supplier
+),
+n1 AS {SQL.split("n1 AS", 1)[1]}"""
