@@ -17,17 +17,19 @@ FIELDS = ("name_core", "address_clean", "name_tokens", "address_tokens", "addres
 FLAGS = ("name_is_empty", "address_is_empty")
 
 
-def record(df: DataFrame) -> DataFrame:
-    """entity_id and r: the struct of a record that the features read. Flags a table lacks are false."""
+def record(df: DataFrame, side: str) -> tuple[DataFrame, dict[str, Column]]:
+    """entity_id and what the features read of a record, and these columns by name. They are columns of their own, not a struct,
+    so that joins carry only what the wanted features read. Flags a table lacks are false."""
     require(df, ("entity_id", *FIELDS), "records")
     flags = [F.coalesce(F.col(c), F.lit(False)).alias(c) if c in df.columns else F.lit(False).alias(c) for c in FLAGS]
-    own = [F.col(c) for c in FIELDS]
     once = [s.phonetic(F.col("name_core")).alias("code"), s.gram_counts(s.ngram_text(F.col("name_core"))).alias("grams")]
-    return df.select("entity_id", F.struct(*own, *flags, *once).alias("r"))
+    names = [*FIELDS, *FLAGS, "code", "grams"]
+    found = df.select("entity_id", *FIELDS, *flags, *once)
+    return found.withColumnsRenamed({n: f"__{side}_{n}" for n in names}), {n: F.col(f"__{side}_{n}") for n in names}
 
 
-def feature_columns(a: Column, b: Column) -> list[Column]:
-    """The seventeen features of two record structs, a of the first source."""
+def feature_columns(a: dict[str, Column], b: dict[str, Column]) -> list[Column]:
+    """The seventeen features of two records, a of the first source."""
     source = F.lower(filled(b["entity_source"]))
     values = {
         "name_jaro_winkler": s.jaro_winkler(a["name_core"], b["name_core"]),
@@ -57,10 +59,10 @@ def pair_features(source1: DataFrame, candidates: DataFrame, pairs: DataFrame) -
     Ids must be unique in either table, else pairs would fan out: repeated ones are an error."""
     require_unique(source1, "entity_id", "source1")
     require_unique(candidates, "entity_id", "candidates")
-    a = record(source1).select(F.col("entity_id").alias("source1_entity_id"), F.col("r").alias("a"))
-    b = record(candidates).select(F.col("entity_id").alias("candidate_entity_id"), F.col("r").alias("b"))
-    met = pairs.join(a, "source1_entity_id").join(b, "candidate_entity_id")
-    return met.select(*pairs.columns, *feature_columns(F.col("a"), F.col("b")))
+    one, a = record(source1, "a")
+    two, b = record(candidates, "b")
+    met = pairs.join(one.withColumnRenamed("entity_id", "source1_entity_id"), "source1_entity_id").join(two.withColumnRenamed("entity_id", "candidate_entity_id"), "candidate_entity_id")
+    return met.select(*pairs.columns, *feature_columns(a, b))
 
 
 def with_fallback(source2: DataFrame, source3: DataFrame) -> DataFrame:

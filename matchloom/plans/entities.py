@@ -21,6 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id and the raw columns: names are the first 40 characters of a text, addresses a number and all the rest of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
+    if docs.rdd.getNumPartitions() < (cores := spark.sparkContext.defaultParallelism):
+        docs = docs.repartition(cores, "doc_id")  # a table of one row group would be normalized in one task
     k = F.when(F.col("source") == "src0", "1").when(F.col("source").isin(*[f"src{i}" for i in range(1, 10)]), "2").otherwise("3")
     ending = F.lit("")
     for i, e in enumerate(ENDINGS):
@@ -62,10 +64,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Normalized entities of the first source, and of the second and third."""
-    every = normalize(entities(spark, sf_dir), "S0")
+    every = written(normalize(entities(spark, sf_dir), "S0"), "entities")
     return every.where("entity_source = 'S1'"), every.where("entity_source != 'S1'")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once and read back: blocking and the lookups of pairs read it several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def heads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, entity_id, name_core) with plain lower-cased heads as names, of the first source and the others."""
     every = entities(spark, sf_dir).select("doc_id", "entity_id", F.lower(F.left("business_name", F.lit(40))).alias("name_core"))
