@@ -7,16 +7,18 @@ annuli, each with the smallest and largest distance it holds. By the triangle in
 [lo, hi] around p comes nearer to q than the gap between d(q, p) and [lo, hi]; a query walks the annuli in order
 of that bound and stops once it can't beat its k-th best score.
 
-Queries meet blocks in two steps. First each query searches blocks around its own nearest pivot: its k-th best
-score there is a floor for the second step, which takes groups of at most QUERIES queries against groups of at most
-GROUP blocks. Both sides of a group are bounded, whatever the table's size; equal vectors, however many, are
-spread over blocks since vec_id is part of the order.
+Queries meet blocks in two steps. In order of their own (pivot, distance) queries form packs of at most QUERIES, and blocks
+groups of some GROUP neighbours. First each query searches blocks around its own nearest pivot: its k-th best score there
+is a floor, and with it the radius in which better ones can lie. Around each pivot a pack reaches from its least distance less radius
+to its largest distance plus radius; only annuli that overlap this reach are sent to the pack, so bounds cut the shuffle as
+well as the work. Both sides of a (pack, group) are bounded, whatever the table's size; equal vectors, however
+many, are spread over blocks since vec_id is part of the order. The driver gets a count per partition, nothing of the index.
 
 The pivots are a sample of fixed size; they decide speed only, as the bounds hold for any pivots.
 
 Defined cases: vectors null, or with a null or non-finite component, take no part; shorter vectors count as padded
-with zeros; a row never finds rows with its own id, so repeated ids are skipped for each other; queries with
-fewer candidates return fewer; ties go to the smaller id; scores are exact while they fit a long; an empty table
+with zeros; a row never finds rows with its own id, so repeated ids are skipped for each other; queries that share an id are answered together, with the best
+scores of any of them; queries with fewer candidates return fewer; ties go to the smaller id; scores are exact while they fit a long; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -26,12 +28,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchloom.llm.common import arrow, cut, read
+from matchloom.llm.common import arrow, cut, discard, read
 
 PIVOTS, BLOCK, GROUP, QUERIES, NEAR = 64, 512, 64, 2048, 4
+SALTS = 16  # parts in which the packs of a pivot meet its annuli
 SLACK = 1e-6  # of a bound, for rounding; widens the search, never narrows it
 
 
@@ -65,6 +69,10 @@ def _lifted(m: np.ndarray, top: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0.0, top - (x * x).sum(1)))[:, None]])
 
 
+def _unlifted(m: np.ndarray) -> np.ndarray:
+    return np.hstack([m.astype(np.float64), np.zeros((len(m), 1))])
+
+
 def _far(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Distances of rows to pivots."""
     return np.sqrt(np.maximum(0.0, (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None] - 2 * x @ pivots.T))
@@ -93,36 +101,90 @@ class _Best:
             self.floor = max(self.floor, float(s[-1]))
 
 
-BLOCKS = "block long, pivot int, lo double, hi double, ids binary, rows binary"
+BLOCKS = "pid int, at long, pivot int, lo double, hi double, ids binary, rows binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
-def index(vectors: DataFrame, pivots: np.ndarray, dim: int, top: float) -> DataFrame:
-    """Blocks of the index from vec_id and v, written to the shared folder."""
-    sent = vectors.sparkSession.sparkContext.broadcast(pivots)
+def _dealt(df: DataFrame, size, most: int, name: str) -> DataFrame:
+    """df with name: the number of its run of about `most` rows, in the order of (pid, at). size: rows that a row stands for."""
+    counts, ends = sorted(map(tuple, df.groupBy("pid").agg(F.sum(size)).collect())), 0
+    offsets = []
+    for pid, n in counts:
+        offsets.append((pid, ends))
+        ends += n
+    told = df.sparkSession.createDataFrame(offsets, "pid int, offset long")  # a row per partition
+    return df.join(F.broadcast(told), "pid").withColumn(name, F.floor((F.col("offset") + F.col("at")) / most)).drop("pid", "at", "offset")
+
+
+def _keyer(id_name: str, sent, dim: int, top: float | None):
+    """id, v, nearest pivot and distance to it; vectors are lifted to top, queries (None) not."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                far = _far(_lifted(_matrix(batch.column(1), dim), top), sent.value)
+                rows = _matrix(batch.column(1), dim)
+                far = _far(_unlifted(rows) if top is None else _lifted(rows, top), sent.value)
                 near = far.argmin(1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], names=["vec_id", "v", "pivot", "far"]
+                    [batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(near)), near])], names=[id_name, "v", "pivot", "far"]
                 )
 
+    return key
+
+
+def index(vectors: DataFrame, sent, dim: int, top: float, pool: list[str]) -> DataFrame:
+    """Blocks of the index from vec_id and v, written to the shared folder; part: the group of neighbouring blocks."""
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             pivot = batch.column(2).to_numpy()
             far, ids, rows = batch.column(3).to_numpy(), batch.column(0).to_numpy(), _matrix(batch.column(1), dim)
             ends = np.flatnonzero(np.diff(pivot)) + 1
             cuts = [c for a, b in zip([0, *ends], [*ends, len(pivot)], strict=True) for c in range(a, b, BLOCK)] + [len(pivot)]
-            out = [(int(ids[a] * 31 + a), int(pivot[a]), far[a:b].min(), far[a:b].max(), ids[a:b].tobytes(), rows[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+            out = [(pid, at + a, int(pivot[a]), far[a:b].min(), far[a:b].max(), ids[a:b].tobytes(), rows[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
+            at += len(pivot)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], schema=pa.schema([("block", pa.int64()), ("pivot", pa.int32()), ("lo", pa.float64()), ("hi", pa.float64()), ("ids", pa.binary()), ("rows", pa.binary())]))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], schema=pa.schema([("pid", pa.int32()), ("at", pa.int64()), ("pivot", pa.int32()), ("lo", pa.float64()), ("hi", pa.float64()), ("ids", pa.binary()), ("rows", pa.binary())]))
 
-    keyed = vectors.transform(arrow, key, "vec_id long, v array<long>, pivot int, far double")
+    keyed = vectors.transform(arrow, _keyer("vec_id", sent, dim, top), "vec_id long, v array<long>, pivot int, far double")
     ordered = keyed.repartitionByRange("pivot", "far", "vec_id").sortWithinPartitions("pivot", "far", "vec_id")
-    return cut(ordered.transform(arrow, pack, BLOCKS), "topk-blocks")
+    blocks = cut(ordered.transform(arrow, pack, BLOCKS), "topk-blocks", pool)
+    return _dealt(blocks, (F.octet_length("ids") / 8).cast("long"), BLOCK * GROUP, "part")
+
+
+def packs(queries: DataFrame, sent, dim: int, pool: list[str]) -> DataFrame:
+    """query_id, v, pivot and pack of the distinct queries, written to the shared folder."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.full(n, pid, np.int32)), pa.array(np.arange(at, at + n))], names=["query_id", "v", "pivot", "pid", "at"])
+            at += n
+
+    asked = queries.where("vec_id is not null").select(F.col("vec_id").alias("query_id"), "v").distinct()
+    keyed = asked.transform(arrow, _keyer("query_id", sent, dim, None), "query_id long, v array<long>, pivot int, far double")
+    ordered = keyed.repartitionByRange("pivot", "far", "query_id").sortWithinPartitions("pivot", "far", "query_id")
+    placed = cut(ordered.transform(arrow, place, "query_id long, v array<long>, pivot int, pid int, at long"), "topk-queries", pool)
+    return _dealt(placed, F.lit(1), QUERIES, "pack")
+
+
+def _reacher(sent, dim: int, top: float):
+    """Of a pack: for every pivot the distances from it between which a vector can beat the floor of one of its queries."""
+
+    def reach(pack: pa.Table) -> pa.Table:
+        pack = pack.combine_chunks()
+        rows = _unlifted(_matrix(pack.column("v").chunk(0), dim))
+        floors = np.array([-np.inf if x is None else float(x) for x in pack.column("floor").to_pylist()])
+        norms, far = (rows * rows).sum(1), _far(rows, sent.value)
+        square = norms + top - 2 * floors + 2 * (np.abs(floors) * SLACK + 1)
+        radius = (np.sqrt(np.maximum(0.0, square)) * (1 + SLACK) + SLACK * np.sqrt(top + norms + 1))[:, None]
+        low, high = (far - radius).min(0), (far + radius).max(0)
+        n = len(low)
+        return pa.table([pa.array([pack.column("pack")[0].as_py()] * n, pa.int64()), pa.array(np.arange(n, dtype=np.int32)), pa.array(low), pa.array(high)], names=["pack", "pivot", "low", "high"])
+
+    return reach
 
 
 def _search(queries, blocks, pivots: np.ndarray, dim: int, top: float, k: int) -> tuple[list, list, list]:
@@ -131,7 +193,7 @@ def _search(queries, blocks, pivots: np.ndarray, dim: int, top: float, k: int) -
     out: tuple[list, list, list] = ([], [], [])
     if not len(ids) or not blocks:
         return out
-    q = np.hstack([rows.astype(np.float64), np.zeros((len(rows), 1))])
+    q = _unlifted(rows)
     far, norms = _far(q, pivots), (q * q).sum(1)
     pivot, lo, hi = (np.array([b[i] for b in blocks]) for i in range(3))
     gap = np.maximum(0.0, np.maximum(lo[None] - far[:, pivot], far[:, pivot] - hi[None]) * (1 - SLACK) - SLACK * np.sqrt(top + 1))
@@ -177,46 +239,41 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, n_pivots: int = PIVOTS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best vectors of each query; both tables hold vec_id and v (longs)."""
-    vectors = cut(vectors, "topk-vectors")
+    pool: list[str] = []
+    vectors = cut(vectors, "topk-vectors", pool)
     squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     size = vectors.agg(F.count("*"), F.max(F.size("v")), F.max(squares)).first()
     if not size[0]:
+        discard(pool)
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    n, dim, top = size[0], max(1, size[1]), float(size[2]) * (1 + 1e-9) + 1
-    sample = list({tuple(r["v"]): 0 for r in vectors.orderBy(F.xxhash64("v"), "vec_id").select("v").limit(4 * n_pivots).collect()})[:n_pivots]
+    dim, top = max(1, size[1]), float(size[2]) * (1 + 1e-9) + 1
+    hashed = F.xxhash64("v")  # equal vectors share a bucket, so that however many copies give one pivot
+    sample = vectors.groupBy(F.pmod(hashed, F.lit(4 * n_pivots)).alias("bucket")).agg(F.min_by("v", hashed).alias("v")).orderBy("bucket").limit(n_pivots).collect()
     padded = np.zeros((len(sample), dim), np.int64)
     for row, x in zip(padded, sample, strict=True):
-        row[: len(x)] = x
-    pivots = _lifted(padded, top)
-    sent = vectors.sparkSession.sparkContext.broadcast(pivots)
-    blocks = index(vectors, pivots, dim, top)
-
-    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                rows = _matrix(batch.column(1), dim).astype(np.float64)
-                far = _far(np.hstack([rows, np.zeros((len(rows), 1))]), sent.value)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far.argmin(1).astype(np.int32))], names=["query_id", "v", "pivot"])
-
-    asked = cut(queries.where("vec_id is not null").select(F.col("vec_id").alias("query_id"), "v").distinct().transform(arrow, home, "query_id long, v array<long>, pivot int"), "topk-queries")
+        row[: len(x["v"])] = x["v"]
+    sent = vectors.sparkSession.sparkContext.broadcast(_lifted(padded, top))
+    blocks, asked = index(vectors, sent, dim, top, pool), packs(queries, sent, dim, pool)
     run = _searcher(sent, dim, top, k)
-    groups = max(1, -(-n // (BLOCK * GROUP)))
-    packs = max(1, -(-asked.count() // QUERIES))
-    none, all_packs = F.lit(None).cast("long"), F.sequence(F.lit(0).cast("long"), F.lit(packs - 1).cast("long"))
-    # Floors: of each pivot's blocks, the NEAR ones nearest to it, against the pivot's queries in packs
-    place = F.row_number().over(Window.partitionBy("pivot").orderBy("lo", "block"))
-    near = blocks.select("pivot", "lo", "block").withColumn("n", place).where(F.col("n") <= NEAR)
-    nearest = blocks.join(near.select("pivot", "block"), ["pivot", "block"], "left_semi")
-    first = asked.withColumn("pack", F.pmod(F.xxhash64("query_id"), F.lit(packs))).withColumn("floor", none)
-    spread = nearest.withColumn("pack", F.explode(all_packs))
-    seeds = first.groupBy("pivot", "pack").cogroup(spread.groupBy("pivot", "pack")).applyInArrow(run, FOUND)
+    # Floors: of each pivot's blocks, the NEAR ones nearest to it, against the packs that hold queries of that pivot
+    place = F.row_number().over(Window.partitionBy("pivot").orderBy("lo", "hi", "ids"))
+    nearest = blocks.withColumn("n", place).where(F.col("n") <= NEAR).drop("n")
+    homes = asked.select("pivot", F.col("pack").alias("to")).distinct()
+    spread = nearest.join(homes, "pivot").withColumn("home", F.col("pivot"))
+    seeds = asked.withColumn("floor", F.lit(None).cast("long")).groupBy("pivot", "pack").cogroup(spread.groupBy("home", "to")).applyInArrow(run, FOUND)
     ranked = _top(seeds, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("floor")).where(F.col("n") == k)
-    floored = asked.join(ranked.select("query_id", "floor"), "query_id", "left")
-    # All blocks against all queries, group by group
-    left = floored.withColumn("pack", F.pmod(F.xxhash64("query_id"), F.lit(packs))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int")).withColumn("pack", F.explode(all_packs))
-    found = left.groupBy("pack", "part").cogroup(right.groupBy("pack", "part")).applyInArrow(run, FOUND)
-    return _top(found, k).select("query_id", "rank", "vec_id", "score")
+    floored = cut(asked.join(ranked.select("query_id", "floor"), "query_id", "left").select("query_id", "v", "pack", "floor"), "topk-floors", pool)
+    # Packs against the annuli within their reach, group by group
+    reach = floored.groupBy("pack").applyInArrow(_reacher(sent, dim, top), "pack long, pivot int, low double, high double")
+    annuli = blocks.groupBy("part", "pivot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    near = reach.withColumn("salt", F.pmod("pack", F.lit(SALTS)).cast("int")).join(annuli, ["pivot", "salt"]).where("lo <= high and hi >= low")
+    pairs = cut(near.select("pack", "part", "pivot", "low", "high"), "topk-pairs", pool)
+    left = floored.join(pairs.select("pack", "part").distinct(), "pack")
+    right = blocks.join(pairs.withColumnRenamed("pack", "to"), ["part", "pivot"]).where("lo <= high and hi >= low").withColumnRenamed("part", "of")
+    found = left.groupBy("pack", "part").cogroup(right.groupBy("to", "of")).applyInArrow(run, FOUND)
+    best = cut(_top(found, k).select("query_id", "rank", "vec_id", "score"), "topk-found")
+    discard(pool)
+    return best
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -42,12 +43,46 @@ def test_topk(spark, seed, dim, n, kind, monkeypatch):
     else:
         v = np.repeat(rnd.integers(-5, 6, (2, dim)), n // 2, 0)
     monkeypatch.setattr(topk, "GROUP", 1)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "QUERIES", 5)
     rows = [(i, [int(x) for x in r]) for i, r in enumerate(v)]
     df = spark.createDataFrame(rows, "vec_id long, v array<long>")
     found = topk.top_k(df.where("vec_id % 10 = 0"), df, 7, n_pivots=5)
     assert sorted(map(tuple, found.select("query_id", "rank", "vec_id", "score").collect())) == brute_topk(rows, rows[::10], 7)
 
 
+def test_topk_one_pivot_for_copies(spark):
+    rows = [(i, [7, 7]) for i in range(600)] + [(600 + i, [i, -i]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    asked = [r for r in rows if r[0] in (0, 605, 639)]
+    found = topk.top_k(df.where("vec_id in (0, 605, 639)"), df, 3, n_pivots=8)
+    assert sorted(map(tuple, found.collect())) == brute_topk(rows, asked, 3)
+
+
+def test_topk_shared_query_id(spark):
+    df = spark.createDataFrame([(1, [1, 0]), (1, [0, 3]), (2, [5, 1]), (3, [1, 5])], "vec_id long, v array<long>")
+    found = topk.top_k(df.where("vec_id = 1"), df, 2)
+    assert sorted(map(tuple, found.collect())) == [(1, 1, 3, 15), (1, 2, 2, 5)]
+
+
+def test_topk_reach_leaves_far_annuli_out(spark):
+    """Two clusters far apart: a pack reaches the annuli of its own cluster only."""
+    rnd = np.random.default_rng(5)
+    v = np.concatenate([rnd.integers(900, 1000, (200, 4)) * [1, 1, -1, -1], rnd.integers(900, 1000, (200, 4)) * [-1, 1, 1, -1]])
+    top = float((v * v).sum(1).max()) + 1
+    pivots = topk._lifted(v[[0, 399]], top)
+    sent = spark.sparkContext.broadcast(pivots)
+    asked, rows = v[:10], topk._lifted(v, top)
+    floors = [sorted((int(q @ w) for w in v), reverse=True)[9] for q in asked]
+    pack = pa.table({"pack": pa.array([3] * 10), "v": pa.array([list(map(int, q)) for q in asked], pa.list_(pa.int64())), "floor": pa.array(floors)})
+    reach = topk._reacher(sent, 4, top)(pack).to_pydict()
+    far = topk._far(rows, pivots)
+    for p in range(2):
+        inside = (far[:, p] >= reach["low"][p]) & (far[:, p] <= reach["high"][p])
+        best = {i for q, f in zip(asked, floors, strict=True) for i in range(400) if int(q @ v[i]) >= f}
+        assert all(inside[i] for i in best) and inside.sum() < 400
+
+
 def test_topk_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (100, None), (200, [float("nan"), 1.0]), (300, [None, 1.0]), (400, [float("inf"), 0.0]), (1, [-0.0001, 0.5]), (2, [3.0]), (None, [1.0, 1.0]), (500, [])]
     vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
