@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from matchloom.functions import vectorized
-from matchloom.functions.tables import ABBREVIATIONS, SUFFIXES, WHITE
+from matchloom.functions.tables import ABBREVIATIONS, SUFFIXES, WHITE, WHITE_SIGNS
 
-NON_ASCII = r"[^\x00-\x7F]"
 #: Beyond ASCII and the range of Latin-1 that NFKC leaves as it is.
 BEYOND_LATIN = r"[^\x00-\x7F\x{C0}-\x{FF}]"
 TLD = r"\.(com|in|net|org|co|biz|info)(\.[a-z]{2})?"
@@ -20,30 +19,37 @@ def filled(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Runs of white space to one blank, none at the ends."""
-    return F.trim(F.regexp_replace(c, WHITE + "+", " "))
+    return F.trim(F.regexp_replace(c, rf"[{WHITE}&&[^ ]]{WHITE}*| {WHITE}+", " "))  # single blanks stay as they are
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"^{WHITE}+|{WHITE}+\z", "")
+    return F.btrim(c, F.lit(WHITE_SIGNS))
 
 
-def _where(pattern: str, c: Column, f) -> Column:
-    """f where c has characters of the pattern; other rows reach the Python worker as null."""
-    return F.coalesce(f(F.when(c.rlike(pattern), c)), c)
+def non_ascii(c: Column) -> Column:
+    return F.length(c) != F.octet_length(c)
 
 
 def clean(c: Column) -> Column:
-    """NFKC and squeezed; null to empty. Names and addresses alike."""
-    return squeeze(_where(BEYOND_LATIN, filled(c), vectorized.nfkc))
+    """NFKC and squeezed; null to empty. Names and addresses alike. Rows that don't need it reach the Python worker as null."""
+    c = filled(c)
+    return squeeze(F.coalesce(vectorized.nfkc(F.when(non_ascii(c) & c.rlike(BEYOND_LATIN), c)), c))
 
 
 def to_ascii(c: Column) -> Column:
-    return _where(NON_ASCII, filled(c), vectorized.ascii_text)
+    c = filled(c)
+    return F.coalesce(vectorized.ascii_text(F.when(non_ascii(c), c)), c)
+
+
+def clean_ascii(raw: Column) -> Column:
+    """to_ascii of clean, from the raw value, so that one pass through the Python worker gives both; null where that is clean itself."""
+    return vectorized.clean_ascii(F.when(non_ascii(raw), raw))
 
 
 def is_domain(raw: Column) -> Column:
-    bare = F.regexp_replace(F.lower(strip(filled(raw))), r"^www\.", "")
-    return bare.rlike(r"^[a-zA-Z0-9][a-zA-Z0-9\-]*" + TLD + r"\z")
+    bare = strip(filled(raw))
+    fits = F.regexp_replace(F.lower(bare), r"^www\.", "").rlike(r"^[a-zA-Z0-9][a-zA-Z0-9\-]*" + TLD + r"\z")
+    return F.when(F.contains(bare, F.lit(".")) & ~F.contains(bare, F.lit(" ")), fits).otherwise(False)  # few names need the patterns
 
 
 def domain_name(raw: Column) -> Column:
@@ -79,8 +85,7 @@ def suffix_of(name_lower: Column) -> Column:
 
 def name_tokens(core: Column) -> Column:
     """Words in order, repeats kept."""
-    spaced = F.trim(F.regexp_replace(filled(core), r"[^\p{L}\p{N}_]+", " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return F.array_remove(F.split(filled(core), r"[^\p{L}\p{N}_]+"), "")
 
 
 def address_tokens(cleaned: Column) -> Column:

@@ -16,12 +16,26 @@ except ImportError:
     unidecode = None
 
 
+class _Spelled(dict):
+    """Code point to what stands for it: Latin letters spelled out, marks dropped, other scripts as they are. Filled as signs come."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        spelled = PLAIN.get(c, c)
+        self[point] = out = "".join(x for x in unicodedata.normalize("NFKD", spelled) if not unicodedata.combining(x))
+        return out
+
+
+_SPELLED = _Spelled()
+
+
 def ascii_of(text: str) -> str:
-    """Transliterated if the library is there; else marks dropped and Latin letters spelled out, other scripts as they are."""
-    if unidecode:
-        return unidecode(text)
-    spelled = "".join(PLAIN.get(c, c) for c in text)
-    return "".join(c for c in unicodedata.normalize("NFKD", spelled) if not unicodedata.combining(c))
+    """Transliterated if the library is there; else sign by sign, as marks dropped need no order."""
+    return unidecode(text) if unidecode else text.translate(_SPELLED)
+
+
+def clean_ascii_of(text: str) -> str:
+    return ascii_of(" ".join(nfkc_of(text).split()))
 
 
 def nfkc_of(text: str) -> str:
@@ -103,3 +117,4 @@ indel_similarity = _pairwise(indel)
 jaro_winkler_similarity = _pairwise(jaro_winkler)
 nfkc = _mapped(nfkc_of)
 ascii_text = _mapped(ascii_of)
+clean_ascii = _mapped(clean_ascii_of)

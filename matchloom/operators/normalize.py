@@ -9,6 +9,7 @@ from matchloom.functions import text as t
 from matchloom.functions.tables import RAW
 from matchloom.operators.checks import require
 
+# The derived columns, in their order.
 DERIVED = (
     "entity_source", "name_clean", "name_lower", "name_ascii", "name_is_domain_style", "name_domain_cleaned", "name_core", "name_suffix_norm",
     "name_tokens", "name_is_empty", "address_clean", "address_ascii", "address_tokens", "address_numbers", "address_is_empty", "country_norm",
@@ -18,11 +19,11 @@ DERIVED = (
 def normalize(df: DataFrame, source_name: str) -> DataFrame:
     """Raw columns as they are (others pass through), then DERIVED. A narrow projection, which streams as well.
 
-    Cleaning comes first and the rest reads cleaned columns, so that the Python worker sees each value once."""
+    Both that needs Python, NFKC and ASCII forms, is made of the raw columns at once, in one pass; the rest reads cleaned columns."""
     require(df, RAW, source_name)
     name, address = F.col("business_name"), F.col("business_address")
-    cleaned = df.withColumns({"name_clean": t.clean(name), "address_clean": t.clean(address)})
-    spelled = cleaned.withColumns({"name_ascii": t.to_ascii(F.col("name_clean")), "address_ascii": t.to_ascii(F.col("address_clean"))})
+    cleaned = df.withColumns({"name_clean": t.clean(name), "address_clean": t.clean(address), "__name": t.clean_ascii(name), "__address": t.clean_ascii(address)})
+    spelled = cleaned.withColumns({"name_ascii": F.coalesce("__name", "name_clean"), "address_ascii": F.coalesce("__address", "address_clean")})
     lowered = spelled.withColumn("name_lower", F.lower("name_clean"))
     cored = lowered.withColumns({"name_core": t.strip_suffix(F.col("name_lower")), "name_suffix_norm": t.suffix_of(F.col("name_lower"))})
     full = cored.withColumns(
