@@ -51,6 +51,17 @@ def test_chat_examples(spark):
     assert found[1].text.startswith(found[0].text) and found[2].text.startswith(found[1].text)
 
 
+def test_chat_expansion_gives_a_row_per_example(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "tool", "c2"), (1, 4, "assistant", "d"), (1, 5, "user", "e"), (2, 0, "assistant", "f"), (3, 0, "user", "g"), (4, 0, "assistant", None), (4, 1, "assistant", "h")]
+    expanded = chat.expand(chat.render(spark.createDataFrame(rows, TALK))).cache()
+    found = sorted(expanded.collect(), key=lambda r: (r.conv_id, r.no))
+    assert [(r.conv_id, r.no, r.added.count(chat.OPEN)) for r in found] == [(1, 2, 2), (1, 5, 3), (1, 6, 1), (2, 1, 1), (3, 1, 1), (4, 1, 1), (4, 2, 1)]
+    assert [r.added[r.example.loss_at - r.start :][: r.example.loss_len] if r.example.loss_at is not None else None for r in found] == ["b", "d", None, "f", None, "", "h"]
+    assert [r.start for r in found] == [0, *(b.start and a.example.stop for a, b in zip(found, found[1:]))]
+    fewer = {r.conv_id: r for r in chat.read_back(expanded.where("no != 5")).collect()}  # without an example, its turns and its target are gone
+    assert (fewer[1].n_turns, fewer[1].loss_chars) == (3, 1)
+
+
 def plain_targets(sizes):
     """Shares by weight; what is above twice a source goes to the rest by weight, until nothing is."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: s) + [None] * (None in sizes)
