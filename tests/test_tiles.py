@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from matchloom.functions import tiles
 from matchloom.functions import vectorized as v
 from matchloom.functions.tables import FEATURES
-from matchloom.operators import blocking, features
+from matchloom.operators import blocking, features, model
 from matchloom.operators.normalize import normalize
 from matchloom.plans import catalog
 
@@ -76,3 +76,12 @@ def test_indel(monkeypatch, bits):
 
 def test_near_numbers():
     assert tiles.near_numbers([["3928"], []], [["3930"], ["3931", "7"], []]).tolist() == [[1, 0, 0], [0, 0, 0]]
+
+
+def test_blocked_pairs_are_scored_as_listed_ones(spark):
+    one, rest = records(spark, 6, 40)
+    found = blocking.generate_candidates(one, rest, index_column="doc_id").select("source1_entity_id", F.col("source2_entity_id").alias("candidate_entity_id"))
+    rows = features.pair_features(one, rest, found).withColumn("label", (F.col("name_levenshtein") > 0.9).cast("int")).cache()
+    package, _ = model.train(rows, trees=1, depth=2, folds=2)
+    plain = lambda df: sorted(tuple(r)[:2] + (round(r[2], 9),) for r in df.collect())
+    assert plain(model.predict_blocked(one, rest, package)) == plain(model.predict(one, rest, found, package))
