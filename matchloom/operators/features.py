@@ -80,6 +80,9 @@ def pair_features(source1: DataFrame, candidates: DataFrame, pairs: DataFrame) -
 
 #: Rows of a side of a tile; fewer where whole addresses are aligned, as a tile is one task's work. Characters and pairs handled at once in a tile.
 ROWS, ALIGNED_ROWS, CHARS, PAIRS = 1024, 256, 1 << 22, 1 << 17
+#: Where whole addresses are sent: copies of a record at most, on average of a block and but for rounding up, as tiles of large blocks grow with them,
+#: and rows of a side of such a tile at most, for memory; blocks of over COPIES times that have more copies again.
+COPIES, MOST_ROWS = 4, 16384
 #: Features of a whole tile: how, and of which column of a record.
 TILED = {
     "name_levenshtein": (tiles.indel, "name_core"),
@@ -93,6 +96,9 @@ TILED = {
 READ = {"name_phonetic_match": "code", "country_match": "country_norm", "is_source2_pair": "entity_source", "is_source3_pair": "entity_source"}
 READ |= {"name1_empty": "name_is_empty", "name2_empty": "name_is_empty", "address1_empty": "address_is_empty", "address2_empty": "address_is_empty"}
 AT = ("__block", "__row", "__column")
+#: Features whose values are long; they travel compressed, as one column.
+LONG = ("address_token_jaccard", "address_string_similarity")
+_CODEC = pa.Codec("zstd", compression_level=3)
 
 
 def columns_read(wanted: Iterable[str]) -> list[str]:
@@ -156,12 +162,15 @@ def block_features(
         require_unique(key, "entity_id", what)
     tiled = [n for n in wanted if n in TILED]
     light = list(dict.fromkeys(READ.get(n, "name_core") for n in wanted if n not in TILED))
+    long = [n for n in tiled if n in LONG]
     rows = ALIGNED_ROWS if "address_string_similarity" in tiled else ROWS
     large = F.broadcast(oversized_prefixes(keys[1], cap=max_prefix_block_size).select(F.concat(F.lit("name_prefix:"), "prefix_key").alias("__large")))
     sides = [_blocked(df, large) for df in (source1, candidates)]
     count = lambda df, n: df.groupBy("__block").agg(F.count("*").alias(n))
     sizes = count(_blocked(keys[0], large), "a").join(count(_blocked(keys[1], large), "b"), "__block", "full").where(f"a > {rows} or b > {rows}")
-    cuts = [F.greatest(F.lit(1), F.ceil(F.coalesce(n, F.lit(0)) / rows)).cast("int").alias(f"__{n}") for n in ("a", "b")]
+    a, b = (F.coalesce(n, F.lit(0)) for n in ("a", "b"))
+    fair = F.least(F.greatest(F.lit(float(rows)), 2 * a * b / (COPIES * (a + b))), F.lit(float(max(rows, MOST_ROWS)))) if long else F.lit(rows)
+    cuts = [F.greatest(F.lit(1), F.ceil(n / fair)).cast("int").alias(name) for n, name in ((a, "__a"), (b, "__b"))]
     cut = F.broadcast(sizes.select(F.col("__block"), *cuts))
 
     def sent(df: DataFrame, side: int) -> DataFrame:
@@ -169,6 +178,9 @@ def block_features(
         once = flags | {"code": s.phonetic(F.col("name_core"))}
         told = [once.get(c, F.col(c)).alias(f"__read_{c}") for c in light]
         narrow = df.select("__block", "entity_id", F.lit(side).alias("__side"), *[_sent(n).alias(n) for n in tiled], *told)
+        if long:
+            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name not in long)
+            narrow = narrow.mapInArrow(lambda batches: _wrapped(batches, long), f"{kinds}, __long binary")
         own, other = ("__a", "__b") if side == 0 else ("__b", "__a")
         own_at, other_at = AT[1:] if side == 0 else AT[:0:-1]
         placed = narrow.join(cut, "__block", "left").withColumn(own_at, F.pmod(F.xxhash64("entity_id"), F.coalesce(own, F.lit(1))).cast("int"))
@@ -206,16 +218,45 @@ def _met(batches: Iterator[pa.RecordBatch], tiled: list[str], light: list[str],
     yield from _pairs(*sides, tiled, light, digits)
 
 
+def _wrapped(batches: Iterator[pa.RecordBatch], long: list[str]) -> Iterator[pa.RecordBatch]:
+    """The long columns as one, __long: the size of each value in bytes, -1 for null, and all of them compressed."""
+    for batch in batches:
+        values = zip(*(batch[n].cast(pa.binary()).to_pylist() for n in long), strict=True)
+        found = [np.array([-1 if v is None else len(v) for v in row], "<i4").tobytes() + _CODEC.compress(b"".join(v or b"" for v in row), asbytes=True) for row in values]
+        rest = [n for n in batch.schema.names if n not in long]
+        yield pa.RecordBatch.from_arrays([*(batch[n] for n in rest), pa.array(found, pa.binary())], [*rest, "__long"])
+
+
+def _unwrapped(batch: pa.RecordBatch, sizes: np.ndarray, long: list[str]) -> pa.RecordBatch:
+    columns = [[] for _ in long]
+    for size, value in zip(sizes.tolist(), batch["__long"].to_pylist(), strict=True):
+        total, at = sum(max(0, n) for n in size), 0
+        text = _CODEC.decompress(value[4 * len(long) :], total, asbytes=True) if total else b""
+        for column, n in zip(columns, size, strict=True):
+            column.append(None if n < 0 else text[at : at + n])
+            at += max(0, n)
+    rest = [n for n in batch.schema.names if n != "__long"]
+    return pa.RecordBatch.from_arrays([*(batch[n] for n in rest), *(pa.array(c, pa.binary()).cast(pa.string()) for c in columns)], [*rest, *long])
+
+
 def _pieces(rows: list[pa.RecordBatch], tiled: list[str]) -> Iterator[pa.RecordBatch]:
     """The rows of a side in pieces of so many characters."""
     table = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
     size = np.zeros(table.num_rows, np.int64)
+    long = [n for n in tiled if n in LONG]
     for n in tiled:
-        size += pc.fill_null(pc.binary_length(table[n]), 0).to_numpy(zero_copy_only=False)
+        if n not in long:
+            size += pc.fill_null(pc.binary_length(table[n]), 0).to_numpy(zero_copy_only=False)
+    sizes = np.zeros((table.num_rows, len(long)), np.int64)
+    if long:
+        heads = pc.binary_slice(table["__long"], 0, 4 * len(long)).to_pylist()
+        sizes = np.frombuffer(b"".join(heads), "<i4").reshape(-1, len(long)).astype(np.int64)
+        size += np.maximum(0, sizes).sum(axis=1)
     part = np.cumsum(size) // CHARS
     begins = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist()
     for begin, end in zip(begins, [*begins[1:], table.num_rows], strict=True):
-        yield table.slice(begin, end - begin)
+        piece = table.slice(begin, end - begin)
+        yield _unwrapped(piece, sizes[begin:end], long) if long else piece
 
 
 def _pairs(one: list[pa.RecordBatch], two: list[pa.RecordBatch], tiled: list[str], light: list[str], digits: int | None) -> Iterator[pa.RecordBatch]:

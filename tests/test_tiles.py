@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,18 @@ def test_rounded(spark):
     values = [0.0, 1.0, 0.5, 0.0000005, 0.1234565, 0.1234575, 0.9999995, *(round(rnd.random(), 6) + 5e-7 for _ in range(500)), *(rnd.random() for _ in range(500))]
     known = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(F.round("v", 6)).collect()]
     assert features.rounded(np.array(values), 6).tolist() == known
+
+
+def test_copies_of_long_records_are_bounded(spark, monkeypatch):
+    """However many tiles of the least size a block would have, a record with its address goes to few."""
+
+    def counted(batches, *_):
+        n = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"source1_entity_id": [str(n)], "candidate_entity_id": [""], "address_string_similarity": [0.0]})
+
+    monkeypatch.setattr(features, "_met", counted)
+    monkeypatch.setattr(features, "ALIGNED_ROWS", 5)
+    every = spark.range(600).selectExpr("id as doc_id", "concat('S', id % 2 + 1, '-', id) as entity_id", "'abc one' as business_name", "concat(id, ' st') as business_address", "'us' as country")
+    every = normalize(every, "S0")
+    sent = features.block_features(every.where("entity_source = 'S1'"), every.where("entity_source != 'S1'"), ["address_string_similarity"])
+    assert 600 < sum(int(r[0]) for r in sent.collect()) <= (features.COPIES + 1) * 600
