@@ -115,3 +115,16 @@ def test_copies_of_long_records_are_bounded(spark, monkeypatch):
     every = normalize(every, "S0")
     sent = features.block_features(every.where("entity_source = 'S1'"), every.where("entity_source != 'S1'"), ["address_string_similarity"])
     assert 600 < sum(int(r[0]) for r in sent.collect()) <= (features.COPIES + 1) * 600
+
+
+@pytest.mark.parametrize("gap", [1, 3, 12])
+def test_carries_between_texts(monkeypatch, gap):
+    monkeypatch.setattr(tiles, "GAP", gap)
+    a, b = ["ab" * 50, "b" * 90, "a"], ["ba" * 60, "a" * 100, "xyz"]
+    assert tiles.lcs(a, b).tolist() == [[v.lcs(x, y) for y in b] for x in a]
+
+
+def test_the_longer_side_lies_side_by_side(monkeypatch):
+    seen, number = [], tiles._number
+    monkeypatch.setattr(tiles, "_number", lambda bits: seen.append(len(bits)) or number(bits))
+    assert tiles.lcs(["abc"], ["xbc"] * 50).tolist() == [[2] * 50] and min(seen) >= 150
