@@ -11,6 +11,7 @@ from matchloom.functions.tables import RAW
 from matchloom.operators import blocking, features, model, pairs, profile
 from matchloom.operators.normalize import normalize
 from matchloom.sources import readers, writers
+from matchloom.sources.scratch import written
 
 
 def parser() -> argparse.ArgumentParser:
@@ -53,8 +54,8 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"{writers.write_parquet(blocking.to_candidate_lists(found), a.output)} source-1 records with candidates")
     elif a.command == "train":
         one, two, three = (readers.read_parquet(spark, x) for x in (a.source1, a.source2, a.source3))
-        labelled = pairs.combined_training_pairs(one, two, three, readers.read_truth(spark, a.ground_truth))
-        rows = features.training_features(one, two, three, labelled).cache()
+        labelled = written(pairs.combined_training_pairs(one, two, three, readers.read_truth(spark, a.ground_truth)), "labelled")
+        rows = written(features.training_features(one, two, three, labelled), "training")
         package, predictions = model.train(rows, a.trees, a.depth)
         package.save(f"{a.output}/package", spark)
         writers.write_parquet(predictions, f"{a.output}/oof_predictions")
