@@ -13,6 +13,7 @@ from matchloom.functions.tables import FEATURES
 from matchloom.operators import blocking, features, model
 from matchloom.operators.normalize import normalize
 from matchloom.plans import catalog
+from matchloom.sources.scratch import written
 
 
 def words(rnd, n, signs="abcdé😀 \0"):
@@ -88,6 +89,23 @@ def test_blocked_pairs_are_scored_as_listed_ones(spark):
     assert plain(model.predict_blocked(one, rest, package)) == plain(model.predict(one, rest, found, package))
 
 
+def test_listed_pairs_in_tiles(spark, monkeypatch):
+    """Many listed pairs are compared in tiles, with the values of the joins; repeated ones stay and unknown ones go."""
+    one, rest = records(spark, 8, 40)
+    ids = lambda df, name: df.select(F.col("entity_id").alias(name), F.crc32("entity_id").alias(name[0]))
+    found = ids(one, "source1_entity_id").crossJoin(ids(rest, "candidate_entity_id")).where("(s + c) % 3 > 0").select("source1_entity_id", "candidate_entity_id", (F.col("s") % 2).cast("int").alias("label"))
+    found = written(found.unionByName(found.limit(5)).unionByName(spark.createDataFrame([("S1-none", "none", 1)], found.schema)), "found")
+    joined = features.pair_features(one, rest, found)
+    monkeypatch.setattr(features, "ALIGNED_ROWS", 6)
+    monkeypatch.setattr(features, "CHARS", 300)
+    listed = features.listed_features(one, rest, found)
+    assert "MapInArrow" in (plan := listed._jdf.queryExecution().optimizedPlan().toString()) and "Join " not in plan
+    assert listed.schema.names == joined.schema.names and [f.dataType for f in listed.schema] == [f.dataType for f in joined.schema]
+    plain = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert plain(listed) == plain(joined)
+    assert "Join " in features.listed_features(one, rest, found.limit(3))._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("query", ["feat_ngram_cosine", "feat_name_indel", "feat_flags"])
 def test_records_are_normalized_once(spark, small, query):
     """Checks, counts and tiles read the written columns, not the documents again."""
